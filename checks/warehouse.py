@@ -25,6 +25,7 @@ from daybook.sources.samples import SampleTables
 DAILY_REPORTS = [name for name in REPORT_TABLES if name != "top_customers_month"]
 # Two more reported days, used to check that other periods stay untouched.
 NEXT_DAY = RunContext(DAILY.run_date + timedelta(days=1))
+BACKFILL_TASKS = 8
 DAY_ORDERS = f"SELECT * FROM sales_orders WHERE {in_day(DAILY)}"
 
 
@@ -149,7 +150,7 @@ def import_reset_reload(t):
 )
 def orders_dynamic_overwrite(t):
     database = create_scratch_database(t.spark)
-    ingest.load_orders_partitions(t.spark, t.orders(), database, many_days=True)
+    ingest.load_orders_partitions(t.spark, t.orders(), database, BACKFILL_TASKS)
     changed = t.orders_on(DAILY).withColumn("order_status", F.lit("CLOSED"))
     ingest.load_orders_partitions(t.spark, changed, database)
     return t.spark.table(tables.qualified(database, "orders"))
@@ -295,10 +296,10 @@ def job_bootstrap(t):
     return _long_form(t, database, DAILY_REPORTS)
 
 
-def _loaded(t: SampleTables, orders: DataFrame) -> jobs.JobConfig:
+def loaded_warehouse(t: SampleTables, orders: DataFrame) -> jobs.JobConfig:
     """A warehouse with the given orders and everything else imported."""
     config = jobs.JobConfig(create_scratch_database(t.spark), t.reader())
-    ingest.load_orders_partitions(t.spark, orders, config.database, many_days=True)
+    ingest.load_orders_partitions(t.spark, orders, config.database, BACKFILL_TASKS)
     for table in ingest.SNAPSHOT_KEYS:
         ingest.snapshot_import(t.spark, config.reader, config.database, table)
     ingest.incremental_append(t.spark, config.reader, config.database)
@@ -307,7 +308,7 @@ def _loaded(t: SampleTables, orders: DataFrame) -> jobs.JobConfig:
 
 @query("job_reports_only", statement(long_form(DAILY_REPORTS), **report_ctes(DAILY)))
 def job_reports_only(t):
-    config = _loaded(t, t.orders_on(DAILY))
+    config = loaded_warehouse(t, t.orders_on(DAILY))
     jobs.run_reports(t.spark, config, DAILY.run_date)
     return _long_form(t, config.database, DAILY_REPORTS)
 
@@ -319,7 +320,7 @@ def job_reports_only(t):
     ),
 )
 def job_month_gate(t):
-    config = _loaded(t, t.orders(MONTHLY.month_start, MONTHLY.run_date + timedelta(days=1)))
+    config = loaded_warehouse(t, t.orders(MONTHLY.month_start, MONTHLY.run_date + timedelta(days=1)))
     second = date(MONTHLY.run_date.year, MONTHLY.run_date.month, 2)
     written = jobs.run_reports(t.spark, config, second)
     jobs.run_reports(t.spark, config, MONTHLY.run_date)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def cast_to_sink(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of ``schema``, in its order and with its types.
 
-    A value that does not fit its column raises under ANSI mode, Spark's default.
+    A value that does not fit its column raises, also when ANSI mode is off.
     """
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.to(schema)

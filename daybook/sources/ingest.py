@@ -57,18 +57,18 @@ def import_orders_day(
 
 
 def load_orders_partitions(
-    spark: SparkSession, staged: DataFrame, database: str, many_days: bool = False
+    spark: SparkSession, staged: DataFrame, database: str, backfill_tasks: int | None = None
 ) -> None:
     """Replace the ``dt`` partitions that occur in ``staged``, and no others.
 
-    ``many_days`` redistributes a back-fill by day first, so that a task does not
-    write a file for every day. Adaptive execution splits days with very many
-    rows and merges those with few.
+    One day needs no redistribution. A back-fill of many days is first split into
+    ``backfill_tasks`` equal ranges of (day, order id): a task then writes few
+    days, and a day with very many rows is shared by several tasks.
     """
     table = ensure_orders_table(spark, database)
     rows = cast_to_sink(select_orders_layout(staged), MODEL["orders"])
-    if many_days:
-        rows = rows.hint("rebalance", "dt")
+    if backfill_tasks is not None:
+        rows = rows.repartitionByRange(backfill_tasks, "dt", "order_id")
     insert_partitions(rows, table, spark.table(table).columns)
 
 

@@ -1,0 +1,238 @@
+from dataclasses import replace
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from shop import DAY, OTHER_DAY, frames, rows
+
+from daybook.plans import jobs
+from daybook.schemas import MODEL
+from daybook.sinks import tables
+from daybook.sources import ingest
+from daybook.sources.readers import FrameReader, RebasingReader, SourceFilter, Split
+
+
+def reader(spark, **overrides):
+    model = frames(spark, **overrides)
+    return FrameReader({**model, "orders": model["orders"].drop("dt")})
+
+
+def item(i):
+    return (i, 1, 100, 1, float(i))
+
+
+def ids(spark, database):
+    return [r[0] for r in rows(spark.table(f"{database}.order_items"), "order_item_id")]
+
+
+def test_snapshot_modes(spark, database):
+    source = reader(spark)
+    ingest.snapshot_import(spark, source, database, "customers", mode="create")
+    with pytest.raises(AnalysisException):
+        ingest.snapshot_import(spark, source, database, "customers", mode="create")
+    smaller = reader(spark, customers=[(1, "Ann", "A", "Oslo", "NO")])
+    for _ in range(2):
+        ingest.snapshot_import(spark, smaller, database, "customers")
+    assert rows(spark.table(f"{database}.customers"), "customer_id") == [(1,)]
+
+
+def test_orders_day_replaces_its_partition_only(spark, database):
+    source = reader(spark)
+    for day in (DAY, OTHER_DAY, DAY):
+        ingest.import_orders_day(spark, source, database, day)
+    table = spark.table(f"{database}.orders")
+    assert table.columns == MODEL["orders"].names
+    assert rows(table.groupBy("dt").count(), "*") == [(DAY, 8), (OTHER_DAY, 1)]
+
+
+def test_empty_import_keeps_the_partition(spark, database):
+    ingest.import_orders_day(spark, reader(spark), database, DAY)
+    ingest.import_orders_day(spark, reader(spark, orders=[]), database, DAY)
+    assert spark.table(f"{database}.orders").count() == 8
+
+
+def test_time_of_day_is_not_matched(spark, database):
+    source = frames(spark)
+    stamped = spark.sql(
+        "SELECT 1L AS order_id, TIMESTAMP '2021-03-01 00:00:00' AS order_date, "
+        "1L AS order_customer_id, 'COMPLETE' AS order_status "
+        "UNION ALL SELECT 2L, TIMESTAMP '2021-03-01 10:00:00', 1L, 'COMPLETE'"
+    )
+    ingest.import_orders_day(spark, FrameReader({**source, "orders": stamped}), database, DAY)
+    assert rows(spark.table(f"{database}.orders"), "order_id") == [(1,)]
+
+
+def test_backfill_spreads_a_hot_day(spark, database):
+    """One day holds most rows; several tasks share it and nothing is lost."""
+    n = 20_000
+    orders = spark.range(n).selectExpr(
+        "id AS order_id",
+        f"IF(id < {n} * 0.7, '{DAY}', date_format(date_add(DATE '2021-04-01', "
+        "CAST(id % 20 AS INT)), 'yyyy-MM-dd')) AS order_date",
+        "id AS order_customer_id",
+        "'COMPLETE' AS order_status",
+    )
+    staged = orders.withColumn("dt", F.col("order_date"))
+    ingest.load_orders_partitions(spark, staged, database, backfill_tasks=6)
+    loaded = spark.table(f"{database}.orders")
+    assert loaded.count() == n and loaded.select("order_id").distinct().count() == n
+    hot = loaded.where(F.col("dt") == DAY)
+    per_file = hot.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) >= 4 and max(r["count"] for r in per_file) < n / 3
+    other_files = loaded.where(F.col("dt") != DAY).select(F.input_file_name()).distinct().count()
+    assert other_files <= 20 + 6
+
+
+def test_incremental_append_takes_only_newer_rows(spark, database):
+    assert ingest.saved_watermark(spark, database, "order_items") == 0
+    first = reader(spark, order_items=[item(i) for i in (1, 2, 3)])
+    second = reader(spark, order_items=[item(i) for i in (2, 3, 4, 5)])
+    assert ingest.incremental_append(spark, first, database) == 3
+    assert ingest.incremental_append(spark, second, database) == 5
+    assert ingest.incremental_append(spark, second, database) == 5
+    assert ids(spark, database) == [1, 2, 3, 4, 5]
+    assert ingest.saved_watermark(spark, database, "order_items") == 5
+
+
+def test_stop_between_append_and_watermark(spark, database):
+    source = reader(spark, order_items=[item(i) for i in (1, 2, 3)])
+    ingest.incremental_append(spark, source, database)
+    ingest.save_watermark(spark, database, "order_items", 0)  # the mark was never written
+    grown = reader(spark, order_items=[item(i) for i in (1, 2, 3, 4)])
+    assert ingest.incremental_append(spark, grown, database) == 4
+    assert ids(spark, database) == [1, 2, 3, 4]
+
+
+def test_append_that_landed_only_in_part(spark, database):
+    """Rows below the newest landed id that are still missing are added."""
+    partly = reader(spark, order_items=[item(i) for i in (2, 4)])
+    ingest.incremental_append(spark, partly, database)
+    ingest.save_watermark(spark, database, "order_items", 0)
+    full = reader(spark, order_items=[item(i) for i in (1, 2, 3, 4)])
+    assert ingest.incremental_append(spark, full, database) == 4
+    assert ids(spark, database) == [1, 2, 3, 4]
+
+
+def test_landed_rows_with_no_newer_ones_still_move_the_mark(spark, database):
+    source = reader(spark, order_items=[item(i) for i in (1, 2)])
+    ingest.incremental_append(spark, source, database)
+    ingest.save_watermark(spark, database, "order_items", 0)
+    assert ingest.incremental_append(spark, source, database) == 2
+    assert ingest.saved_watermark(spark, database, "order_items") == 2
+
+
+def test_watermarks_of_tables_are_independent(spark, database):
+    ingest.save_watermark(spark, database, "a", 7)
+    ingest.save_watermark(spark, database, "b", 9)
+    ingest.save_watermark(spark, database, "a", 8)
+    assert ingest.saved_watermark(spark, database, "a") == 8
+    assert ingest.saved_watermark(spark, database, "b") == 9
+
+
+def test_empty_source_creates_the_table(spark, database):
+    assert ingest.incremental_append(spark, reader(spark, order_items=[]), database) == 0
+    assert ids(spark, database) == []
+
+
+def test_reset_reloads_everything(spark, database):
+    source = reader(spark, order_items=[item(i) for i in (1, 2)])
+    ingest.incremental_append(spark, source, database)
+    ingest.reset_incremental(spark, database)
+    assert ids(spark, database) == []
+    assert ingest.incremental_append(spark, source, database) == 2
+    assert ids(spark, database) == [1, 2]
+
+
+def test_items_are_sorted_by_order_inside_each_file(spark, database):
+    items = [(i, (i * 7919) % 1000, 100, 1, 1.0) for i in range(1, 500)]
+    ingest.incremental_append(spark, reader(spark, order_items=items), database)
+    path_rows = spark.table(f"{database}.order_items").select(
+        F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"),
+        "order_item_order_id",
+    ).orderBy("f", "n").collect()
+    for left, right in zip(path_rows, path_rows[1:]):
+        assert left.f != right.f or left.order_item_order_id <= right.order_item_order_id
+
+
+def test_range_split_read(spark):
+    source = replace(reader(spark), range_splits=True)
+    df = source.read("order_items", SourceFilter.greater("order_item_id", 3), Split("order_item_id"))
+    assert df.rdd.getNumPartitions() == 2
+    assert rows(df, "order_item_id") == sorted(((i,) for i in range(4, 14)), key=repr)
+
+
+def test_rebasing_reader_filters_on_source_dates(spark):
+    anchor = date(2022, 7, 17)
+    orders = [(1, "2013-07-25", 1, "COMPLETE", ""), (2, "2021-09-20", 1, "COMPLETE", "")]
+    moved = RebasingReader(reader(spark, orders=orders), anchor)
+    everything = moved.read("orders")
+    assert rows(everything, "order_id", "order_date") == [(1, "2021-09-20"), (2, "2021-09-20")]
+    day = moved.read("orders", SourceFilter.equals("order_date", "2021-09-20"))
+    assert rows(day, "order_id") == [(1,), (2,)]
+    gone = moved.read("orders", SourceFilter.equals("order_date", "2013-07-25"))
+    assert rows(gone, "order_id") == []
+
+
+def test_source_filter_sql():
+    assert SourceFilter.equals("d", "2021-03-01").sql('"') == "\"d\" IN ('2021-03-01')"
+    assert SourceFilter.equals("d", date(2021, 3, 1), "a'b").sql("`") == (
+        "`d` IN ('2021-03-01', 'a''b')"
+    )
+    assert SourceFilter.greater("n", 5).sql('"') == '"n" > 5'
+    with pytest.raises(ValueError):
+        SourceFilter("n", "<", (1,))
+
+
+def test_jobs(spark, database):
+    """First run, daily run and repeated run of a small shop."""
+    name = f"{database}_shop"
+    config = jobs.JobConfig(name, reader(spark), database_location=None)
+    try:
+        first = jobs.run(spark, config, date(2021, 3, 2))
+        assert first == {
+            "category_sales": 3, "department_sales": 2, "top_products_qty": 4,
+            "top_products_amount": 4, "top_customers_day": 4, "order_status": 5,
+        }
+        again = jobs.run(spark, config, date(2021, 3, 2))
+        assert again == first
+        assert spark.table(f"{name}.order_items").count() == 13
+        jobs.run(spark, config, date(2021, 3, 3))
+        dates = spark.table(f"{name}.department_wise_sales").groupBy("txn_date").count()
+        assert rows(dates, "*") == [(DAY, 2), (OTHER_DAY, 1)]
+        month = jobs.run_reports(spark, config, date(2021, 4, 1))
+        assert month["top_customers_month"] == 4 and month["category_sales"] == 0
+        assert not [
+            d.name for d in spark.catalog.listDatabases()
+            if d.name.startswith("daybook_scratch") and d.name != database and d.name != name
+        ]
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_job_without_reader_is_refused(spark, database):
+    with pytest.raises(ValueError):
+        jobs.run_daily(spark, jobs.JobConfig(database), date(2021, 3, 2))
+
+
+def test_failed_import_stops_the_run(spark, database):
+    source = reader(spark)
+    broken = FrameReader({k: v for k, v in source.frames.items() if k != "products"})
+    with pytest.raises(KeyError):
+        jobs.run(spark, jobs.JobConfig(database, broken), date(2021, 3, 2))
+    assert not spark.catalog.tableExists(f"{database}.department_wise_sales")
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from daybook import session
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: None),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(cluster)
+    assert session.shared_dir(spark).endswith("/shared")
+    assert tables.qualified("a", "b") == "a.b"
