@@ -1,0 +1,109 @@
+"""The JDBC reader against an embedded in-memory database inside Spark's own JVM.
+
+It opens no port and no other process can see it, so it stands in for a source
+database only in local mode.
+"""
+
+import uuid
+from datetime import date
+
+import pytest
+from shop import DAY, ROWS, frames, rows
+
+from daybook.plans import jobs
+from daybook.sources import ingest
+from daybook.sources.readers import JdbcReader, SourceFilter, Split
+
+DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+@pytest.fixture(scope="module")
+def source(spark):
+    options = {"url": f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "driver": DRIVER}
+    for name, df in frames(spark).items():
+        df = df.drop("dt")
+        if name == "orders":
+            df = df.withColumn("order_date", df.order_date.cast("date"))
+        df.write.format("jdbc").options(**options, dbtable=name).save()
+    return JdbcReader(spark, options)
+
+
+def test_whole_table(source):
+    df = source.read("products")
+    assert rows(df, "*") == sorted(ROWS["products"], key=repr)
+
+
+def test_split_read_has_two_tasks_and_all_rows(source):
+    df = source.read("order_items", split=Split("order_item_id", 2))
+    assert df.rdd.getNumPartitions() == 2
+    assert rows(df, "*") == sorted(ROWS["order_items"], key=repr)
+    sizes = df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert min(sizes) >= 5
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_filters_and_columns_reach_the_database(source):
+    day = SourceFilter.equals("order_date", date.fromisoformat(DAY))
+    df = source.read("orders", day, Split("order_id", 2)).select("order_id", "order_date")
+    assert rows(df, "order_id") == [(i,) for i in range(1, 9)]
+    assert "PushedFilters: [*IsNotNull(order_date), *EqualTo(order_date," in plan(df)
+    assert "ReadSchema: struct<order_id:bigint,order_date:date>" in plan(df)
+    newer = source.read("order_items", SourceFilter.greater("order_item_id", 10))
+    assert "*GreaterThan(order_item_id,10)" in plan(newer)
+    assert newer.count() == 3
+
+
+def test_split_bounds_follow_the_filter(source):
+    bounds = source._bounds("order_items", SourceFilter.greater("order_item_id", 10), "order_item_id")
+    assert bounds == (11, 13)
+    nothing = source.read(
+        "order_items", SourceFilter.greater("order_item_id", 99), Split("order_item_id", 2)
+    )
+    assert nothing.count() == 0
+
+
+def test_string_filter_on_a_date_column(spark, source, database):
+    ingest.import_orders_day(spark, source, database, DAY)
+    loaded = spark.table(f"{database}.orders")
+    assert loaded.count() == 8
+    assert rows(loaded.select("order_date", "dt").distinct(), "*") == [(DAY, DAY)]
+
+
+def test_first_and_daily_run(spark, source, database):
+    name = f"{database}_jdbc"
+    config = jobs.JobConfig(name, source)
+    try:
+        first = jobs.run(spark, config, date(2021, 3, 2))
+        assert first["department_sales"] == 2 and first["order_status"] == 5
+        assert jobs.run(spark, config, date(2021, 3, 2)) == first
+        assert spark.table(f"{name}.order_items").count() == 13
+        assert rows(spark.table(f"{name}.department_wise_sales"), "*") == [
+            (1, "Home", 130.35, DAY),
+            (2, "Garden", 40.3, DAY),
+        ]
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_rebased_source(spark, source, database):
+    """The shop's day seen from an anchor that moves it 2979 days ahead."""
+    anchor = date(2029, 5, 1)
+    run_day = date(2029, 4, 28)
+    config = jobs.JobConfig(f"{database}_moved", source, rebase_anchor=anchor)
+    try:
+        written = jobs.run(spark, config, run_day)
+        assert written["department_sales"] == 2
+        moved = spark.table(f"{database}_moved.department_wise_sales")
+        assert rows(moved, "total_sales", "txn_date") == [
+            (130.35, "2029-04-27"),
+            (40.3, "2029-04-27"),
+        ]
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database}_moved CASCADE")
+
+
+def test_identifier_quotes_follow_the_database(spark):
+    assert JdbcReader(spark, {"url": "jdbc:mysql://host/db"})._quote == "`"
+    assert JdbcReader(spark, {"url": "jdbc:postgresql://host/db"})._quote == '"'
