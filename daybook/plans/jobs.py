@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.context import RunContext
@@ -23,6 +25,9 @@ from daybook.sources.readers import Reader, RebasingReader
 class JobConfig:
     """Where a run reads and writes.
 
+    ``import_tasks`` is the number of parallel reads per source table, and
+    ``concurrent_steps`` the number of independent tables imported or reports
+    written at a time; their product bounds the connections to the source.
     ``rebase_anchor`` moves historic order dates of the source relative to that
     day; it belongs to the source, so every run against it uses the same one.
     """
@@ -31,6 +36,7 @@ class JobConfig:
     reader: Reader | None = None
     lag_days: int = 1
     import_tasks: int = 2
+    concurrent_steps: int = 6
     rebase_anchor: date | None = None
     database_location: str | None = None
 
@@ -42,12 +48,30 @@ class JobConfig:
         return RebasingReader(self.reader, self.rebase_anchor)
 
 
+def _together(
+    spark: SparkSession, steps: dict[str, Callable[[], int | None]], at_once: int
+) -> dict[str, int | None]:
+    """Run independent actions from several threads, so small ones share the cluster.
+
+    All of them end before the first failure, if any, is raised.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {
+            name: pool.submit(inheritable_thread_target(spark)(step))
+            for name, step in steps.items()
+        }
+    return {name: future.result() for name, future in started.items()}
+
+
 def _import(spark: SparkSession, config: JobConfig, ctx: RunContext, mode: str) -> None:
-    reader = config.source()
-    import_orders_day(spark, reader, config.database, ctx.txn_date, config.import_tasks)
-    for table in SNAPSHOT_KEYS:
-        snapshot_import(spark, reader, config.database, table, mode, config.import_tasks)
-    incremental_append(spark, reader, config.database, tasks=config.import_tasks)
+    reader, database, tasks = config.source(), config.database, config.import_tasks
+    steps = {
+        table: lambda table=table: snapshot_import(spark, reader, database, table, mode, tasks)
+        for table in SNAPSHOT_KEYS
+    }
+    steps["orders"] = lambda: import_orders_day(spark, reader, database, ctx.txn_date, tasks)
+    steps["order_items"] = lambda: incremental_append(spark, reader, database, tasks=tasks)
+    _together(spark, steps, config.concurrent_steps)
 
 
 def run_daily(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
@@ -82,20 +106,22 @@ def run_reports(spark: SparkSession, config: JobConfig, run_date: date) -> dict[
     periods = {"txn_date": ctx.txn_date, "txn_month": ctx.txn_month}
     scratch = create_scratch_database(spark)
     try:
-        return {
-            name: replace_report(
+        due = _due_reports(spark, config.database, ctx, scratch)
+        steps = {
+            name: lambda name=name, df=df: replace_report(
                 df, config.database, name, periods[REPORT_TABLES[name].period_column]
             )
-            for name, df in _due_reports(spark, config.database, ctx, scratch)
+            for name, df in due.items()
         }
+        return _together(spark, steps, config.concurrent_steps)
     finally:
         drop_scratch_database(spark, scratch)
 
 
 def _due_reports(
     spark: SparkSession, database: str, ctx: RunContext, scratch: str
-) -> Iterator[tuple[str, DataFrame]]:
-    """Reports of one run, in order; the monthly one only on the first of a month."""
+) -> dict[str, DataFrame]:
+    """Reports of one run; the monthly one only on the first of a month."""
 
     def table(name: str) -> DataFrame:
         return spark.table(qualified(database, name))
@@ -109,18 +135,20 @@ def _due_reports(
         compact_sales_fact(sales, items_in_order_range(items, sales), products, categories),
         qualified(scratch, "day_fact"),
     )
-    yield "category_sales", reports.category_sales(fact, departments, ctx)
-    yield "department_sales", reports.department_sales(fact, departments, ctx)
-    yield "top_products_qty", reports.top_products_qty(fact, products, ctx)
-    yield "top_products_amount", reports.top_products_amount(fact, products, ctx)
-    yield "top_customers_day", reports.top_customers_day(fact, customers, ctx)
     every_order = orders_for_day(orders, ctx.txn_date, all_statuses=True)
-    yield "order_status", reports.order_status(every_order, ctx)
-
+    due = {
+        "category_sales": reports.category_sales(fact, departments, ctx),
+        "department_sales": reports.department_sales(fact, departments, ctx),
+        "top_products_qty": reports.top_products_qty(fact, products, ctx),
+        "top_products_amount": reports.top_products_amount(fact, products, ctx),
+        "order_status": reports.order_status(every_order, ctx),
+        "top_customers_day": reports.top_customers_day(fact, customers, ctx),
+    }
     if ctx.is_month_start:
         sales = orders_for_month(orders, ctx)
         month_fact = sales_fact(sales, items_in_order_range(items, sales), products, categories)
-        yield "top_customers_month", reports.top_customers_month(month_fact, customers, ctx)
+        due["top_customers_month"] = reports.top_customers_month(month_fact, customers, ctx)
+    return due
 
 
 def _store(df: DataFrame, table: str) -> DataFrame:

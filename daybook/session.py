@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings for large clusters, for use with SparkSession.builder or spark-submit.
+# Settings for large clusters, applied where the submitted job sets nothing else.
 CLUSTER_SETTINGS = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed ones,
     # switch to a broadcast join once the real size of a side is known.
@@ -33,6 +33,13 @@ CLUSTER_SETTINGS = {
 }
 
 
+def apply_cluster_settings(spark: SparkSession) -> None:
+    given = spark.sparkContext.getConf()
+    for key, value in CLUSTER_SETTINGS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def require_dynamic_overwrite(spark: SparkSession) -> None:
     """Make ``INSERT OVERWRITE`` replace single partitions, not whole tables.
 

@@ -10,6 +10,7 @@ from daybook.functions.casts import cast_to_sink
 from daybook.functions.periods import with_partition_day
 from daybook.operators.scans import newer_than, select_orders_layout
 from daybook.schemas import MODEL, SNAPSHOT_KEYS
+from daybook.session import create_scratch_database, drop_scratch_database
 from daybook.sinks.tables import (
     ensure_orders_table,
     ensure_partitioned_table,
@@ -34,9 +35,23 @@ def snapshot_import(
     mode: str = "overwrite",
     tasks: int = 2,
 ) -> None:
-    """Copy a whole source table; importing twice gives the same table as importing once."""
+    """Copy a whole source table; importing twice gives the same table as importing once.
+
+    An existing table is replaced from a staged copy, so a source that fails
+    half-way leaves the last snapshot in place.
+    """
+    target = qualified(database, table)
     rows = reader.read(table, split=Split(SNAPSHOT_KEYS[table], tasks))
-    rows.write.format("parquet").mode(MODES[mode]).saveAsTable(qualified(database, table))
+    if mode == "create" or not spark.catalog.tableExists(target):
+        rows.write.format("parquet").mode(MODES[mode]).saveAsTable(target)
+        return
+    scratch = create_scratch_database(spark)
+    try:
+        staged = qualified(scratch, table)
+        rows.write.format("parquet").saveAsTable(staged)
+        spark.table(staged).write.format("parquet").mode(MODES[mode]).saveAsTable(target)
+    finally:
+        drop_scratch_database(spark, scratch)
 
 
 def read_orders_day(reader: Reader, day: str, tasks: int = 2) -> DataFrame:

@@ -37,6 +37,14 @@ def test_snapshot_modes(spark, database):
     assert rows(spark.table(f"{database}.customers"), "customer_id") == [(1,)]
 
 
+def test_failing_source_keeps_the_last_snapshot(spark, database):
+    ingest.snapshot_import(spark, reader(spark), database, "customers")
+    bad = frames(spark)["customers"].withColumn("customer_city", F.expr("string(1 / (3 - customer_id))"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        ingest.snapshot_import(spark, FrameReader({"customers": bad}), database, "customers")
+    assert spark.table(f"{database}.customers").count() == 5
+
+
 def test_orders_day_replaces_its_partition_only(spark, database):
     source = reader(spark)
     for day in (DAY, OTHER_DAY, DAY):
