@@ -25,6 +25,8 @@ from daybook.functions.rebase import max_order_date, rebase_order_dates
 from daybook.operators import facts, metrics, scans
 from daybook.plans.reports import MONEY_SCALE, TOP_ROWS
 from daybook.schemas import MODEL, REPORT_TABLES
+from daybook.session import create_scratch_database
+from daybook.sinks.tables import qualified
 from daybook.sources.readers import SourceFilter
 from daybook.sources.samples import SampleTables
 
@@ -117,9 +119,13 @@ def named_view(t):
     ),
 )
 def cached_fact(t):
-    shared = day_fact(t).select(*facts.REPORT_COLUMNS).persist()
+    database = create_scratch_database(t.spark)
+    table = qualified(database, "category_totals")
     keys = ["category_id", "category_department_id", "category_name"]
-    return metrics.sum_by(shared, keys, "order_item_subtotal", "total_sales", MONEY_SCALE)
+    with facts.cached(day_fact(t).select(*facts.REPORT_COLUMNS)) as kept:
+        totals_ = metrics.sum_by(kept, keys, "order_item_subtotal", "total_sales", MONEY_SCALE)
+        totals_.write.format("parquet").saveAsTable(table)
+    return t.spark.table(table)
 
 
 # --- projections -------------------------------------------------------------

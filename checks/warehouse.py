@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.basic import ANCHOR, REBASED, day_fact
+from checks.basic import ANCHOR, REBASED
 from checks.oracle import LONG_COLUMNS, in_day, long_form, report, report_ctes, statement
 from checks.registry import DAILY, MONTHLY, query
 from daybook.context import RunContext
