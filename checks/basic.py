@@ -301,6 +301,20 @@ def fact_compact(t):
     return compact.withColumn("order_item_subtotal", F.round("order_item_subtotal", MONEY_SCALE))
 
 
+@query(
+    "fact_by_order",
+    statement(
+        "SELECT customer_id, round(sum(order_item_subtotal), 2) AS order_item_subtotal "
+        "FROM fact GROUP BY order_item_order_id, customer_id",
+        fact=fact(MONTH),
+    ),
+)
+def fact_by_order(t):
+    orders = scans.orders_for_month(t.orders_in_month(MONTHLY), MONTHLY)
+    by_order = facts.customer_sales_fact(orders, t.order_items(), t.products(), t.categories())
+    return by_order.withColumn("order_item_subtotal", F.round("order_item_subtotal", MONEY_SCALE))
+
+
 @query(
     "join_category_department",
     statement(

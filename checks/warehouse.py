@@ -14,6 +14,8 @@ from checks.basic import ANCHOR, REBASED
 from checks.oracle import LONG_COLUMNS, in_day, long_form, report, report_ctes, statement
 from checks.registry import DAILY, MONTHLY, query
 from daybook.context import RunContext
+from daybook.operators.facts import sales_fact
+from daybook.operators.scans import orders_for_day
 from daybook.plans import jobs, reports
 from daybook.schemas import REPORT_TABLES
 from daybook.session import create_scratch_database
@@ -30,8 +32,8 @@ DAY_ORDERS = f"SELECT * FROM sales_orders WHERE {in_day(DAILY)}"
 
 
 def department_report(t: SampleTables, ctx: RunContext) -> DataFrame:
-    fact = jobs.sales_fact(
-        jobs.orders_for_day(t.orders_on(ctx), ctx.txn_date),
+    fact = sales_fact(
+        orders_for_day(t.orders_on(ctx), ctx.txn_date),
         t.order_items(),
         t.products(),
         t.categories(),

@@ -88,6 +88,28 @@ def compact_sales_fact(
     ).select(*REPORT_COLUMNS)
 
 
+def customer_sales_fact(
+    orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """The fact summed to one row per order, for reports by customer over long periods.
+
+    Holds ``customer_id`` and ``order_item_subtotal`` only. The items of an order
+    lie together in the files, so the map-side sums leave about one row per order
+    to shuffle, already partitioned for the join with orders.
+    """
+    with_product = join_items(items, products)
+    totals = (
+        with_product.join(
+            categories, F.col("product_category_id") == F.col("category_id"), "inner"
+        )
+        .groupBy("order_item_order_id")
+        .agg(F.sum("order_item_subtotal").alias("order_item_subtotal"))
+    )
+    return join_orders(totals, orders).select(
+        F.col("order_customer_id").alias("customer_id"), "order_item_subtotal"
+    )
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame in executor memory, spilling to disk, while several reports read it.

@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.context import RunContext
-from daybook.operators.facts import compact_sales_fact, sales_fact
+from daybook.operators.facts import compact_sales_fact, customer_sales_fact
 from daybook.operators.scans import items_in_order_range, orders_for_day, orders_for_month
 from daybook.plans import reports
 from daybook.schemas import REPORT_TABLES, SNAPSHOT_KEYS
@@ -146,7 +146,8 @@ def _due_reports(
     }
     if ctx.is_month_start:
         sales = orders_for_month(orders, ctx)
-        month_fact = sales_fact(sales, items_in_order_range(items, sales), products, categories)
+        month_items = items_in_order_range(items, sales)
+        month_fact = customer_sales_fact(sales, month_items, products, categories)
         due["top_customers_month"] = reports.top_customers_month(month_fact, customers, ctx)
     return due
 

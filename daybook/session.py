@@ -19,8 +19,14 @@ CLUSTER_SETTINGS = {
     # Start wide; adaptive execution merges what turns out small.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Spark broadcasts a side only when its measured size is below this bound.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Spark broadcasts a side of at most 10 MB of files, or 64 MB as measured in a
+    # shuffle. Files can be many times smaller than their rows in memory, so the
+    # first bound is the tighter one, and sizes of plain files are scaled up.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.fileCompressionFactor": "4",
+    # Hash instead of sort where every partition of a side is measured to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # One period of orders filters the item scan before the shuffle, also when
     # that period is too large to broadcast.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",

@@ -40,7 +40,7 @@ def test_settings_of_the_submitted_job_win(spark, conf):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     session.apply_cluster_settings(spark)
-    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "64m"
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10m"
     assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"  # given at start
 
 

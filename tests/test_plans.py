@@ -129,6 +129,19 @@ def test_compact_fact_sums_before_the_catalog_join(spark, conf, warehouse):
     assert tree.index("SortMergeJoin") < first_aggregate  # catalog, above
 
 
+def test_order_sums_need_no_second_shuffle_for_the_join(spark, conf, warehouse):
+    """Sums per order are already partitioned by order id when they meet the orders."""
+    fact = facts.customer_sales_fact(
+        scans.orders_for_day(warehouse("orders"), DAY).hint("merge"),
+        warehouse("order_items"),
+        warehouse("products"),
+        warehouse("categories"),
+    )
+    tree = plan(fact).split("\n\n")[0]
+    assert tree.count("SortMergeJoin") == 1
+    assert len(re.findall(r"(?<!Broadcast)Exchange", tree)) == 2  # order sums, orders
+
+
 def test_write_needs_no_shuffle_of_its_own(spark, database, warehouse):
     """A report is one aggregation: one exchange, then the write."""
     orders = scans.orders_for_day(warehouse("orders"), DAY, all_statuses=True)

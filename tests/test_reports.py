@@ -9,6 +9,7 @@ from daybook.operators import facts, metrics, scans
 from daybook.plans import reports
 
 CTX = RunContext(date(2021, 3, 2))
+ALL_FACTS = [facts.sales_fact, facts.compact_sales_fact, facts.customer_sales_fact]
 
 
 def build(tables, fact=facts.sales_fact):
@@ -69,6 +70,7 @@ def test_order_status_counts_every_state_and_null(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ALL_FACTS)
 def test_missing_customer_shortens_the_list(spark, kind):
     """Five places; the top one belongs to a customer without a row."""
     tables = frames(spark)
@@ -98,13 +100,12 @@ def test_duplicate_category_doubles_the_sum(spark, kind):
     assert rows(sales.where("department_id = 2"), "total_sales") == [(80.6,)]
 
 
-def test_month_report(spark):
+@pytest.mark.parametrize("kind", [facts.sales_fact, facts.customer_sales_fact])
+def test_month_report(spark, kind):
     tables = frames(spark)
     ctx = RunContext(date(2021, 4, 1))
     sales = scans.orders_for_month(tables["orders"], ctx)
-    fact = facts.sales_fact(
-        sales, tables["order_items"], tables["products"], tables["categories"]
-    )
+    fact = kind(sales, tables["order_items"], tables["products"], tables["categories"])
     top = reports.top_customers_month(fact, tables["customers"], ctx)
     assert rows(top, "customer_id", "total_amount", "txn_month") == [
         (1, 190.35, "2021-03"), (2, 30.3, "2021-03"), (3, 10.0, "2021-03"), (4, 10.0, "2021-03")

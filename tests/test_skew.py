@@ -115,6 +115,19 @@ def test_reports_on_hot_keys(spark, conf, tables, expected, build):
     assert result(customers, "customer_id", "total_amount") == top5(expected["customer"])
 
 
+def test_customers_of_hot_orders_summed_per_order(spark, conf, tables, expected):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    fact = facts.customer_sales_fact(
+        scans.orders_for_day(tables["orders"], DAY),
+        tables["order_items"],
+        tables["products"],
+        tables["categories"],
+    )
+    top = reports.top_customers_day(fact, tables["customers"], CTX)
+    assert {r.customer_id: r.total_amount for r in top.collect()} == top5(expected["customer"])
+
+
 def test_hot_order_is_split_at_run_time(spark, conf, tables):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
