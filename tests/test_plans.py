@@ -155,3 +155,18 @@ def test_cluster_settings_are_known_to_spark(spark, conf):
             spark.conf.get(key)  # raises for a name Spark does not know
             conf(key, value)
     assert QUERIES["report_department_sales"](spark, SAMPLES).count() == 4
+
+
+def test_bloom_filter_thins_the_item_scan(spark, conf, warehouse):
+    """A day too large to broadcast still filters the items before their shuffle."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1b")
+    for fact in (facts.sales_fact, facts.compact_sales_fact):
+        df = fact(
+            scans.orders_for_day(warehouse("orders"), DAY),
+            warehouse("order_items"),
+            warehouse("products"),
+            warehouse("categories"),
+        )
+        assert re.search(r"might_contain\(.*xxhash64\(order_item_order_id", plan(df))
