@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,9 @@ from daybook.sinks.tables import database_exists, ensure_database, qualified, re
 from daybook.sources.ingest import import_orders_day, incremental_append, snapshot_import
 from daybook.sources.readers import Reader, RebasingReader
 
+# A named action, giving the number of rows it wrote where it counts them.
+Step = tuple[str, Callable[[], int | None]]
+
 
 @dataclass(frozen=True)
 class JobConfig:
@@ -48,29 +52,29 @@ class JobConfig:
         return RebasingReader(self.reader, self.rebase_anchor)
 
 
-def _together(
-    spark: SparkSession, steps: dict[str, Callable[[], int | None]], at_once: int
-) -> dict[str, int | None]:
+def _together(spark: SparkSession, steps: Iterable[Step], at_once: int) -> dict[str, int | None]:
     """Run independent actions from several threads, so small ones share the cluster.
 
-    All of them end before the first failure, if any, is raised.
+    A step starts as soon as ``steps`` yields it. All started ones end before the
+    first failure, if any, is raised.
     """
     with ThreadPoolExecutor(at_once) as pool:
         started = {
-            name: pool.submit(inheritable_thread_target(spark)(step))
-            for name, step in steps.items()
+            name: pool.submit(inheritable_thread_target(spark)(action)) for name, action in steps
         }
     return {name: future.result() for name, future in started.items()}
 
 
 def _import(spark: SparkSession, config: JobConfig, ctx: RunContext, mode: str) -> None:
     reader, database, tasks = config.source(), config.database, config.import_tasks
-    steps = {
-        table: lambda table=table: snapshot_import(spark, reader, database, table, mode, tasks)
-        for table in SNAPSHOT_KEYS
-    }
-    steps["orders"] = lambda: import_orders_day(spark, reader, database, ctx.txn_date, tasks)
-    steps["order_items"] = lambda: incremental_append(spark, reader, database, tasks=tasks)
+    steps: list[Step] = [
+        ("orders", lambda: import_orders_day(spark, reader, database, ctx.txn_date, tasks)),
+        ("order_items", lambda: incremental_append(spark, reader, database, tasks=tasks)),
+    ]
+    for table in SNAPSHOT_KEYS:
+        steps.append(
+            (table, partial(snapshot_import, spark, reader, database, table, mode, tasks))
+        )
     _together(spark, steps, config.concurrent_steps)
 
 
@@ -103,53 +107,58 @@ def run(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int
 def run_reports(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
     """Write every report due on ``run_date`` from the warehouse; rows written per report."""
     ctx = RunContext(run_date, config.lag_days)
-    periods = {"txn_date": ctx.txn_date, "txn_month": ctx.txn_month}
     scratch = create_scratch_database(spark)
     try:
-        due = _due_reports(spark, config.database, ctx, scratch)
-        steps = {
-            name: lambda name=name, df=df: replace_report(
-                df, config.database, name, periods[REPORT_TABLES[name].period_column]
-            )
-            for name, df in due.items()
-        }
+        steps = _report_steps(spark, config.database, ctx, scratch)
         return _together(spark, steps, config.concurrent_steps)
     finally:
         drop_scratch_database(spark, scratch)
 
 
-def _due_reports(
+def _report_steps(
     spark: SparkSession, database: str, ctx: RunContext, scratch: str
-) -> dict[str, DataFrame]:
-    """Reports of one run; the monthly one only on the first of a month."""
+) -> Iterator[Step]:
+    """Writes of the reports due; the monthly one only on the first of a month.
+
+    Those that do not need the fact of the day come first and run while it is built.
+    """
+    periods = {"txn_date": ctx.txn_date, "txn_month": ctx.txn_month}
 
     def table(name: str) -> DataFrame:
         return spark.table(qualified(database, name))
 
-    orders, items = table("orders"), table("order_items")
-    departments, products, customers = table("departments"), table("products"), table("customers")
-    categories = table("categories")
+    def step(name: str, build: Callable[..., DataFrame], *inputs: DataFrame) -> Step:
+        period = periods[REPORT_TABLES[name].period_column]
+        return name, lambda: replace_report(build(*inputs, ctx), database, name, period)
+
+    orders, items, products = table("orders"), table("order_items"), table("products")
+    categories, departments, customers = (
+        table("categories"), table("departments"), table("customers")
+    )
+
+    if ctx.is_month_start:
+
+        def top_customers_month(*_) -> DataFrame:
+            sales = orders_for_month(orders, ctx)
+            month_items = items_in_order_range(items, sales)
+            fact = customer_sales_fact(sales, month_items, products, categories)
+            return reports.top_customers_month(fact, customers, ctx)
+
+        yield step("top_customers_month", top_customers_month)
+
+    every_order = orders_for_day(orders, ctx.txn_date, all_statuses=True)
+    yield step("order_status", reports.order_status, every_order)
 
     sales = orders_for_day(orders, ctx.txn_date)
     fact = _store(
         compact_sales_fact(sales, items_in_order_range(items, sales), products, categories),
         qualified(scratch, "day_fact"),
     )
-    every_order = orders_for_day(orders, ctx.txn_date, all_statuses=True)
-    due = {
-        "category_sales": reports.category_sales(fact, departments, ctx),
-        "department_sales": reports.department_sales(fact, departments, ctx),
-        "top_products_qty": reports.top_products_qty(fact, products, ctx),
-        "top_products_amount": reports.top_products_amount(fact, products, ctx),
-        "order_status": reports.order_status(every_order, ctx),
-        "top_customers_day": reports.top_customers_day(fact, customers, ctx),
-    }
-    if ctx.is_month_start:
-        sales = orders_for_month(orders, ctx)
-        month_items = items_in_order_range(items, sales)
-        month_fact = customer_sales_fact(sales, month_items, products, categories)
-        due["top_customers_month"] = reports.top_customers_month(month_fact, customers, ctx)
-    return due
+    yield step("category_sales", reports.category_sales, fact, departments)
+    yield step("department_sales", reports.department_sales, fact, departments)
+    yield step("top_products_qty", reports.top_products_qty, fact, products)
+    yield step("top_products_amount", reports.top_products_amount, fact, products)
+    yield step("top_customers_day", reports.top_customers_day, fact, customers)
 
 
 def _store(df: DataFrame, table: str) -> DataFrame:

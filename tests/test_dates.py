@@ -62,3 +62,14 @@ def test_month_range_equals_month_prefix(spark):
     df = spark.createDataFrame([(d,) for d in days], "dt string")
     by_prefix = df.where(periods.month_prefix(F.col("dt")) == ctx.txn_month)
     assert rows(df.where(periods.in_month(F.col("dt"), ctx)), "dt") == rows(by_prefix, "dt")
+
+
+@pytest.mark.parametrize("name", ["report_department_sales", "report_top_customers_month"])
+def test_reports_do_not_depend_on_the_session_zone(spark, conf, name):
+    from conftest import SAMPLES
+
+    from __spark_entry__ import queries
+
+    in_utc = rows(queries()[name](spark, SAMPLES), "*")
+    conf("spark.sql.session.timeZone", "America/New_York")
+    assert in_utc and rows(queries()[name](spark, SAMPLES), "*") == in_utc

@@ -231,6 +231,21 @@ def test_failed_import_stops_the_run(spark, database):
     assert not spark.catalog.tableExists(f"{database}.department_wise_sales")
 
 
+def test_first_run_that_failed_is_completed_by_the_next(spark, database):
+    name = f"{database}_halfway"
+    source = reader(spark)
+    broken = FrameReader({k: v for k, v in source.frames.items() if k != "customers"})
+    try:
+        with pytest.raises(KeyError):
+            jobs.run(spark, jobs.JobConfig(name, broken), date(2021, 3, 2))
+        assert spark.catalog.databaseExists(name)
+        written = jobs.run(spark, jobs.JobConfig(name, source), date(2021, 3, 2))
+        assert written["top_customers_day"] == 4 and written["category_sales"] == 3
+        assert spark.table(f"{name}.order_items").count() == 13
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def test_shared_folder_must_be_named_on_a_cluster(spark):
     from types import SimpleNamespace
 

@@ -51,5 +51,5 @@ def test_steps_all_end_before_a_failure_is_raised(spark):
         raise RuntimeError("step failed")
 
     with pytest.raises(RuntimeError, match="step failed"):
-        jobs._together(spark, {"a": fails, "b": lambda: ended.append("b")}, at_once=1)
+        jobs._together(spark, [("a", fails), ("b", lambda: ended.append("b"))], at_once=1)
     assert ended == ["b"]
