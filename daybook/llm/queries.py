@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, mixing, packing, sharding
+from daybook.llm import exact_dedup, html_text, language, mixing, packing, pii, quality, sharding
 from daybook.llm.common import read_table
+from daybook.llm.sampling import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +63,43 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels")
+    model = quality.learn_quality(docs, labels, remainder(3) != 1)
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query("op4_main_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query("op5_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language.learn_language(docs.where(remainder(4) != 2))
+    return language.predict_language(docs, model).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@_query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(read_table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[pii.counted(spans, kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(pii.listed(spans, pii.BASE_KINDS), 256).alias("base_sha256"),
+        pii.listed(spans, pii.KINDS).alias("spans"),
+    )
