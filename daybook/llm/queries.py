@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, html_text, language, mixing, packing, pii, quality, sharding
+from daybook.llm import exact_dedup, html_text, language, mixing, packing, pii, quality, sharding, vector_search
 from daybook.llm.common import read_table
 from daybook.llm.sampling import remainder
 
@@ -103,3 +103,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.listed(spans, pii.BASE_KINDS), 256).alias("base_sha256"),
         pii.listed(spans, pii.KINDS).alias("spans"),
     )
+
+
+OP8_SQL = """
+WITH v AS (
+    SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), q AS (
+    SELECT vec_id AS query_id, v AS qv FROM v WHERE vec_id % 20 = 0
+), pairs AS (
+    SELECT query_id, vec_id, CAST(list_inner_product(qv, v) AS BIGINT) AS score
+    FROM q JOIN v ON query_id <> vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@_query("op8_top_k", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
