@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, html_text, language, mixing, packing, pii, quality, sharding, vector_search
+from daybook.llm import exact_dedup, html_text, jaccard, language, mixing, packing, pii, quality, sharding, vector_search
 from daybook.llm.common import read_table
 from daybook.llm.sampling import remainder
 
@@ -128,3 +128,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 @_query("op8_top_k", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op1_ngram_jaccard")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return jaccard.near_duplicates(docs, jaccard.Similarity(words=3, part=90, of=100))
