@@ -4,6 +4,10 @@ Each stage takes what the one before it kept, as a table with the columns of
 ``documents``, and hands on what it keeps itself; the last gives the packed
 pieces. Every stage's result is written to the shared folder and read from there,
 so a lost executor repeats one stage at most.
+
+Texts move with their rows: a stage decides on narrow tables and then drops or
+repeats rows of the scan. The ids it needs for that are broadcast where their
+counted number is small, and otherwise meet the documents in a shuffle.
 """
 
 from __future__ import annotations
@@ -11,19 +15,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, mixing, packing
-from daybook.llm.common import read_table, stored
+from daybook.llm import exact_dedup, jaccard, language, mixing, packing
+from daybook.llm.common import read_table, small_side, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Documents whose language is less sure than this are rejected.
+LEAST_SCORE = 0.5
 
-# Training and compressors cannot be written in SQL.
+# Training and tokenizing cannot be written in SQL.
 ORACLE_SQL = None
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose doc_id is not among ``ids``; a null doc_id stays."""
+    gone = stored(ids.select(F.col("doc_id").alias("gone")))
+    return docs.join(small_side(gone), docs.doc_id == F.col("gone"), "left_anti")
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages of the corpus.
+
+    Rejected are texts without a letter (null and empty ones too) and those whose
+    best language scores below ``LEAST_SCORE``.
+    """
+    model = language.learn_language(docs)
+    found = docs.select(*COLUMNS, language.language_of(model)("text").alias("found"))
+    sure = (F.col("found.lang") != language.UNKNOWN) & (F.col("found.score") >= LEAST_SCORE)
+    return found.where(sure).select(COLUMNS)
+
+
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
-    kept = exact_dedup.duplicate_groups(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
+    """One document of each group of equal texts; rows that repeat stay once."""
+    docs = docs.select(COLUMNS)
+    groups = exact_dedup.duplicate_groups(docs)
+    dropped = groups.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept")
+    left = _without(docs, dropped)
+    several = stored(left.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if several.isEmpty():
+        return left
+    again = left.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return _without(left, several).unionByName(again).select(COLUMNS)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near copies.
+
+    Near copies share 0.8 of their five-word grams, or are linked by others that do.
+    """
+    docs = docs.select(COLUMNS)
+    groups = jaccard.near_duplicates(docs, jaccard.Similarity(words=5, part=80, of=100))
+    return _without(docs, groups.where("doc_id <> component_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,34 +73,39 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The mix cuts the document that a source is sending when the budget ends; here
     such a document goes in whole if at least half of it is taken.
     """
-    taken = mixing.mix(docs).select(
-        "doc_id",
-        F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5))
-        .otherwise(0)
-        .cast("int")
-        .alias("times"),
-    ).where("times > 0")
+    docs = docs.select(COLUMNS)
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)
+    taken = (
+        mixing.mix(docs)
+        .groupBy(F.col("doc_id").alias("taken_id"))
+        .agg(F.max(times).cast("int").alias("times"))
+        .where("times > 0")
+    )
+    side = small_side(stored(taken))
     return (
-        docs.join(taken, "doc_id")
+        docs.join(side, docs.doc_id.eqNullSafe(F.col("taken_id")))
         .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
         .select(COLUMNS)
     )
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences; a document the mix repeats is packed as often."""
     return packing.pack(docs)
 
 
 STAGES = [
-    ("exact dedup", remove_copies),
-    ("mix sources", mix_sources),
+    ("language", keep_known_language),
+    ("exact copies", remove_copies),
+    ("near copies", remove_near_copies),
+    ("mix", mix_sources),
     ("pack", pack_sequences),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents").select(COLUMNS)
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

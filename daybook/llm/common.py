@@ -30,6 +30,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Up to this many keys of 8 bytes are sent to every executor; more meet in a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(keys: DataFrame) -> DataFrame:
+    """A stored frame of keys, to be broadcast if its counted rows are few enough."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def unit(*cols: Column | str) -> Column:
     """A hash of the columns as a double in [0, 1)."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))

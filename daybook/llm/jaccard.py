@@ -25,13 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import stored
+from daybook.llm.common import small_side, stored
 from daybook.llm.components import components
 
 # Documents in whose prefix a gram may stand before it is moved to the end.
 COMMON = 50
-# Up to this many keys of 8 bytes are broadcast; more meet in a shuffle.
-BROADCAST_ROWS = 1_000_000
 # Pairs still apart, per entry of the lists they come from, that are worth
 # forming at once; beyond that another hub is tried first.
 PAIRS_PER_ENTRY, STAR_ROUNDS = 4, 6
@@ -204,7 +202,7 @@ def _full_sets(words: int):
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among the stored ``ids``."""
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    side = small_side(ids)
     return docs.join(side, docs.doc_id == side.v, "left_semi")
 
 
@@ -248,7 +246,7 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, similar: Similarity) -> DataFra
     """
     offered = nodes.select("v", F.explode("reach").alias("gram"))
     common = stored(offered.groupBy("gram").count().where(F.col("count") > COMMON).select("gram"))
-    side = F.broadcast(common) if common.count() <= BROADCAST_ROWS else common
+    side = small_side(common)
 
     def ordered(sets: DataFrame, grams: str) -> DataFrame:
         hits = (

@@ -200,15 +200,15 @@ def learn_language(docs: DataFrame) -> LanguageModel:
     return fit_language(labelled_sample(texts, "lang"), inverse_frequencies(texts.select("text")))
 
 
-def _predict(model: LanguageModel):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def language_of(model: LanguageModel):
+    """A column function: the text's language and score, as a struct (lang, score)."""
+
+    @F.pandas_udf("lang string, score double")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams = Grams()
-        for batch in batches:
-            langs, scores = model.predict(batch.column(1).to_pylist(), grams)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
+        for texts in parts:
+            langs, scores = model.predict(list(texts), grams)
+            yield pd.DataFrame({"lang": langs, "score": scores})
 
     return run
 
@@ -220,5 +220,7 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     or has no letter is ``und`` with score 0, as is every text if no language was
     learned. Rows that repeat are answered one by one; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_predict(model), "doc_id long, lang_pred string, score double")
+    found = docs.select("doc_id", language_of(model)("text").alias("found"))
+    return found.select(
+        "doc_id", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
+    )
