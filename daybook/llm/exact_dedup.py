@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import SPACES, bucket_count
+from daybook.llm.common import SPACES, bucket_count, small_side, stored
 
 _BLOCK = "quotient long, remainders binary, counts binary"
 
@@ -117,12 +117,12 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), normalised(F.col("text")).alias("norm"))
     marked = rows.withColumn("fp", F.xxhash64("norm"))
-    repeated = repeated_fingerprints(marked.select("fp"), docs.count())
+    repeated = stored(repeated_fingerprints(marked.select("fp"), docs.count()).select("fp"))
 
     # Byte verification: Spark groups by the normalised text itself. Copies in one
     # task meet before the shuffle, so a large group moves one text per task.
     groups = (
-        marked.join(repeated.select("fp"), "fp")
+        marked.join(small_side(repeated), "fp")
         .groupBy("fp", "norm")
         .agg(
             F.max(F.struct(F.length("text").alias("len"), (-F.col("doc_id")).alias("neg"))).alias("top"),
@@ -138,10 +138,11 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     digests = marked.select(
         "doc_id", F.length("text").alias("len"), F.sha2("norm", 256).alias("text_sha256")
     )
+    # Numbered before the join: a large group is spread by doc_id here.
     same_row = Window.partitionBy("text_sha256", "doc_id").orderBy(F.desc("len"))
     return (
-        digests.join(groups, "text_sha256", "left")
-        .withColumn("turn", F.row_number().over(same_row))
+        digests.withColumn("turn", F.row_number().over(same_row))
+        .join(groups, "text_sha256", "left")
         .select(
             "doc_id",
             F.when(F.col("group_size").isNull(), F.col("doc_id"))
