@@ -29,7 +29,10 @@ FINEST = 16
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 # Words a worker remembers the ids of; beyond that it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+# Stands between words that are encoded together: a word that is always one id.
+BETWEEN = "0"
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -50,8 +53,10 @@ def cuts(capacity: int = CAPACITY, finest: int = FINEST) -> list[list[int]]:
 class WordIds:
     """Ids of a text as little-endian 32-bit bytes, word by word with a memory.
 
-    The vocabulary's own splitting never crosses a space or line feed, so the ids
-    of a text are those of its words, one after the other.
+    The vocabulary splits at white space and lower-cases, so the ids of a text are
+    those of its words, one after the other, and capitals in A-Z make no difference
+    but in the names of special tokens. Words that are new are encoded many at a
+    time, with a word of one id between them.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -64,22 +69,44 @@ class WordIds:
 
             path = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self._ids([BETWEEN])[0]
         self.memory: dict[str, bytes] = {"": b""}
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        split = []
+        for text in texts:
+            if "<|" not in text:
+                text = text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
+            split.append(text.replace("\n", " ").split(" "))
         if len(self.memory) > REMEMBERED:
             self.memory = {"": b""}
+        self._learn({word for words in split for word in words if word not in self.memory})
         memory = self.memory
-        new = list({word for words in split for word in words if word not in memory})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            memory.update(
-                (word, np.array(e.ids, "<u4").tobytes()) for word, e in zip(part, found, strict=True)
-            )
         return [b"".join([memory[word] for word in words]) for words in split]
 
+    def _learn(self, words: set[str]) -> None:
+        plain = [w for w in words if BETWEEN not in w and "<|" not in w]
+        if len(self.between) != 4:  # another vocabulary: one word at a time
+            plain = []
+        together = self._ids(
+            [f" {BETWEEN} ".join(plain[at : at + 500]) for at in range(0, len(plain), 500)]
+        )
+        mark = int.from_bytes(self.between, "little")
+        for at, data in enumerate(together):
+            part = plain[500 * at : 500 * (at + 1)]
+            cut = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == mark)
+            starts, ends = np.r_[0, cut + 4], np.r_[cut, len(data)]
+            for word, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True):
+                self.memory[word] = data[a:b]
+        odd = list(words.difference(plain))
+        for at in range(0, len(odd), 1000):
+            part = odd[at : at + 1000]
+            self.memory.update(zip(part, self._ids(part), strict=True))
+
 
 def _pieces(vocabulary: str, capacity: int, finest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
