@@ -66,7 +66,8 @@ def integer_vectors(table: DataFrame, scale: int) -> DataFrame:
     """vec_id and floor(scale * x) of each component; vectors with unusable components are left out."""
     x = F.col("embedding")
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
-    return table.where(x.isNotNull()).where(F.forall(x, finite)).select(
+    usable = table.where(x.isNotNull() & F.col("vec_id").isNotNull()).where(F.forall(x, finite))
+    return usable.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double"))).alias("v"),
     )
@@ -196,7 +197,7 @@ def _tile(k: int):
         if most * n < 2.0**62:
             # One number that sorts by score and then by smaller vec_id.
             key = scores * n - np.arange(n)
-            key[~usable] = np.iinfo(np.int64).min
+            key[~usable] = -(1 << 62)
             take = min(k, n)
             best = np.argpartition(-key, take - 1, axis=1)[:, :take] if take < n else np.tile(np.arange(n), (len(own), 1))
         else:
@@ -246,7 +247,7 @@ def top_k(table: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFrame
 
     Takes ``vec_id`` and ``embedding``; other columns are ignored. ``is_query`` is
     a condition on vec_id. Vectors that are null or hold null or non-finite
-    components take no part; a shorter vector counts as having zeros at its end.
+    components, or have no vec_id, take no part; a shorter vector counts as having zeros at its end.
     Ties go to the smaller vec_id. A query never finds its own vec_id; of rows that
     repeat a vec_id all are searched, and one (the smallest vector) asks. Fewer
     than k others give fewer rows, an empty table none. Scores must fit a long.
