@@ -98,8 +98,9 @@ def fit_quality(sample: pd.DataFrame, shares: dict[int, float] | None = None) ->
     import zstandard
 
     labels = sample["quality"].to_numpy(dtype=float)
-    shares = shares or {v: float((labels == v).mean()) for v in (0, 1)}
-    prior = shares.get(1, 0.0) if len(labels) else 0.5
+    if not len(labels):
+        return QualityModel(None, (0.0, 0.0, 0.0), 0.5)
+    prior = shares.get(1, 0.0) if shares else float(labels.mean())
     even = np.arange(len(sample)) % 2 == 0
     dictionaries = []
     for label in (0, 1):

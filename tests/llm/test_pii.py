@@ -1,0 +1,70 @@
+import hashlib
+import random
+import re
+
+from daybook.llm import pii
+from daybook.llm.pii import BASE_KINDS, KINDS, automaton, counted, find_spans, listed, personal_data
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def brute(text):
+    spans = []
+    for order, (kind, pattern) in enumerate(PATTERNS.items()):
+        for found in re.finditer(pattern, text):
+            digits = re.sub(r"[^0-9]", "", found[0])
+            valid = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in found[0].split(".")),
+                "card": 12 <= len(digits) <= 19 and pii.luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if valid:
+                spans.append((found.start(), order, found.end(), kind))
+    return [(kind, start, end) for start, _, end, kind in sorted(spans)]
+
+
+def base(text):
+    return [s for s in find_spans(text, automaton()) if s[0] in BASE_KINDS]
+
+
+def test_against_patterns():
+    rng, anchors = random.Random(6), automaton()
+    kinds = ["0123456789", "@.", "a-b.@+", "1 2-3.4", "+ ()", "x€ü"]
+    for _ in range(4000):
+        text = "".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(0, 60)))
+        assert [s for s in find_spans(text, anchors) if s[0] in BASE_KINDS] == brute(text)
+
+
+def test_validated_cues():
+    text = "IBAN: GB82 WEST 1234 5698 7654 32, SSN 123-45-6789, ftp://me:pw@host/x and http://host/x"
+    found = {kind: text[s:e] for kind, s, e in find_spans(text, automaton())}
+    assert found["iban"] == "GB82 WEST 1234 5698 7654 32"
+    assert found["ssn"] == "123-45-6789" and found["userinfo"] == "ftp://me:pw@host"
+    assert not [k for k, *_ in find_spans("IBAN GB82 WEST 1234 5698 7654 33", automaton()) if k == "iban"]
+
+
+def test_long_and_hostile_texts():
+    for n in (300, 100_000):
+        texts = ("a" * n + "@", "1." * n, "+1" + "(" * n, "1 " * n, "9" * n + ".1.1.1", "+1-" * n, "a@" * n)
+        for text in texts:
+            found = base(text)
+            assert n > 300 or found == brute(text)
+
+
+def test_rows(spark, documents, odd_rows):
+    rows = [*odd_rows, (30, "mail a.b@c.org or 10.0.0.1, ü x@y.de", "aa", "s")]
+    found = personal_data(documents(rows)).select(
+        "doc_id", counted("spans", "email").alias("n"), listed("spans", KINDS).alias("all"),
+    ).collect()
+    assert len(found) == len(rows)
+    last = next(r for r in found if r.doc_id == 30)
+    assert (last.n, last.all) == (2, "email:5:14,ip:18:26,email:30:36")
+    assert all(r.all == "" for r in found if r.doc_id != 30)
+    assert personal_data(documents([])).count() == 0
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
