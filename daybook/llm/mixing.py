@@ -83,7 +83,7 @@ def mix(
     order inside a source is a hash of doc_id and ``seed``, so reruns agree.
 
     Returns doc_id, source, size, source_size, target, taken and position: the
-    words of the whole mix before the first copy of this document.
+    words of the whole mix before the first copy of this document, null if not taken.
     """
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     targets = source_targets(
@@ -108,10 +108,11 @@ def mix(
         )
         .withColumn("finish", F.when(F.col("target") > 0, F.col("end") / F.col("target")))
     )
-    beyond = 1 - 2.0**-53
+    # Times up to 1 fill the lower half of the range, what comes too late the upper.
+    spread = F.coalesce(F.col("finish") / (F.col("finish") + 1), 0.5 + unit("doc_id") / 2)
     ordered = with_running_total(
-        copies, "position", [], F.least(F.coalesce("finish", F.lit(beyond)), F.lit(beyond)),
-        ["finish", "source", "doc_id", "copy", "size"], F.col("words"), limit * buckets,
+        copies, "position", [], spread,
+        ["finish", "source", "doc_id", "copy", "size"], F.col("words"), 2 * limit * buckets,
     )
     taken = F.greatest(
         F.lit(0), F.least(F.col("served"), F.col("before") + F.col("size")) - F.col("before")
@@ -123,5 +124,6 @@ def mix(
         )
     return ordered.where("copy = 0").select(
         "doc_id", "source", "size", "source_size", "target",
-        taken.cast("long").alias("taken"), "position",
+        taken.cast("long").alias("taken"),
+        F.when(taken > 0, F.col("position")).alias("position"),
     )
