@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,5 +88,50 @@ def replace_report(df: DataFrame, database: str, report: str, value: str) -> int
     return replace_period(df, table, layout.period_column, value)
 
 
+def append_rows(df: DataFrame, table: str) -> None:
+    """Add rows by column name; columns that the table lacks are added to it first."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        known = set(spark.table(table).columns)
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+        missing = [f for f in spark.table(table).schema if f.name not in df.columns]
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in missing}
+        df = df.withColumns(empty) if empty else df
+    df.write.format("parquet").mode("append").saveAsTable(table)
+
+
+def publish_version(df: DataFrame, database: str, table: str) -> None:
+    """Write a whole table into a new version folder and switch the table to it.
+
+    The switch changes the catalog only. If the columns have changed, the table is
+    declared anew over the finished folder, which is a catalog change as well.
+    """
+    spark, name = df.sparkSession, qualified(database, table)
+    root = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}_versions"
+    version = f"{root}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(version)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    declare = f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{version}'"
+    if not spark.catalog.tableExists(name):
+        spark.sql(declare)
+    elif [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(declare)
+    spark.catalog.refreshTable(name)
+    _remove_old_versions(spark, root, keep=2)
+
+
+def _remove_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    versions = sorted(entry.getPath().getName() for entry in files.listStatus(path))
+    for old in versions[:-keep]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, old), True)
+
+
 def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.casts import cast_to_sink
+from daybook.functions.casts import cast_known, cast_to_sink
 from daybook.functions.periods import with_partition_day
 from daybook.operators.scans import newer_than, select_orders_layout
 from daybook.schemas import MODEL, SNAPSHOT_KEYS
-from daybook.session import create_scratch_database, drop_scratch_database
 from daybook.sinks.tables import (
+    append_rows,
     ensure_orders_table,
     ensure_partitioned_table,
     insert_partitions,
+    publish_version,
     qualified,
     truncate,
 )
@@ -23,8 +24,8 @@ from daybook.sources.readers import Reader, SourceFilter, Split
 STATE_TABLE = "import_state"
 _STATE_COLUMNS = T.StructType([T.StructField("last_value", T.LongType())])
 
-# Save modes of a snapshot: the target must not exist yet, or is replaced.
-MODES = {"create": "errorifexists", "overwrite": "overwrite"}
+class TableExistsError(ValueError):
+    """A snapshot in mode ``create`` found its table; mode ``overwrite`` replaces it."""
 
 
 def snapshot_import(
@@ -37,21 +38,16 @@ def snapshot_import(
 ) -> None:
     """Copy a whole source table; importing twice gives the same table as importing once.
 
-    An existing table is replaced from a staged copy, so a source that fails
-    half-way leaves the last snapshot in place.
+    Every import writes a version folder of its own and then points the table at
+    it, so a source or a write that fails half-way leaves the last snapshot in
+    place, and nothing is copied twice. Readers that are still at work find the
+    version before; older ones are removed.
     """
     target = qualified(database, table)
+    if mode == "create" and spark.catalog.tableExists(target):
+        raise TableExistsError(f"{target} exists already")
     rows = reader.read(table, split=Split(SNAPSHOT_KEYS[table], tasks))
-    if mode == "create" or not spark.catalog.tableExists(target):
-        rows.write.format("parquet").mode(MODES[mode]).saveAsTable(target)
-        return
-    scratch = create_scratch_database(spark)
-    try:
-        staged = qualified(scratch, table)
-        rows.write.format("parquet").saveAsTable(staged)
-        spark.table(staged).write.format("parquet").mode(MODES[mode]).saveAsTable(target)
-    finally:
-        drop_scratch_database(spark, scratch)
+    publish_version(rows, database, table)
 
 
 def read_orders_day(reader: Reader, day: str, tasks: int = 2) -> DataFrame:
@@ -120,14 +116,16 @@ def incremental_append(
     the append had finished or not; this relies on the check column being
     unique. Parquet statistics keep that look-up away from older rows.
 
-    Rows are sorted by ``cluster_by`` inside each task, without a shuffle, so
-    that later reads can skip row groups by that column. Returns the mark.
+    Every column of the source is kept, also those the reports do not use; one
+    that the source gained later is added to the target. Rows are sorted by
+    ``cluster_by`` inside each task, without a shuffle, so that later reads can
+    skip row groups by that column. Returns the mark.
     """
     target = qualified(database, table)
     last = saved_watermark(spark, database, table)
     split = Split(check_column, tasks) if tasks else None
     batch = reader.read(table, SourceFilter.greater(check_column, last), split)
-    batch = cast_to_sink(batch, MODEL[table]) if table in MODEL else batch
+    batch = cast_known(batch, MODEL[table]) if table in MODEL else batch
 
     recovered = None
     if spark.catalog.tableExists(target):
@@ -140,7 +138,7 @@ def incremental_append(
     rows = batch.observe(appended, F.max(check_column).alias("newest"))
     if cluster_by is not None:
         rows = rows.sortWithinPartitions(cluster_by)
-    rows.write.format("parquet").mode("append").saveAsTable(target)
+    append_rows(rows, target)
 
     marks = [m for m in (last, recovered, appended.get["newest"]) if m is not None]
     if max(marks) > last:

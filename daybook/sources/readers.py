@@ -74,22 +74,16 @@ class FrameReader:
     """Source tables that are already DataFrames: files, catalog tables, views.
 
     Spark splits such sources into tasks itself, by their size, so a requested
-    split is not needed. With ``range_splits`` it is carried out as a range
-    partitioning, which clusters the rows by the split column.
+    split is not needed.
     """
 
     frames: dict[str, DataFrame]
-    range_splits: bool = False
 
     def read(
         self, table: str, where: SourceFilter | None = None, split: Split | None = None
     ) -> DataFrame:
         df = self.frames[table]
-        if where is not None:
-            df = df.where(where.condition())
-        if split is None or not self.range_splits:
-            return df
-        return df.repartitionByRange(split.tasks, split.column)
+        return df if where is None else df.where(where.condition())
 
 
 def parquet_reader(spark: SparkSession, root: str, tables: list[str]) -> FrameReader:
