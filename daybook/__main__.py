@@ -13,10 +13,11 @@ import argparse
 from datetime import date
 from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from daybook.plans import jobs
-from daybook.session import apply_cluster_settings
+from daybook.session import apply_cluster_settings, require_persistent_catalog, shared_dir
 from daybook.sources.readers import JdbcReader
 
 COMMANDS = {
@@ -35,6 +36,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lag-days", type=int, default=1)
     parser.add_argument("--source", type=Path, help="properties file of the JDBC source")
     parser.add_argument("--import-tasks", type=int, default=2)
+    parser.add_argument("--concurrent-steps", type=int, default=6)
     parser.add_argument("--rebase-anchor", type=date.fromisoformat)
     parser.add_argument("--database-location")
     return parser.parse_args(arguments)
@@ -46,10 +48,22 @@ def source_options(path: Path) -> dict[str, str]:
     return {key.strip(): value.strip() for key, value in pairs}
 
 
+def session() -> SparkSession:
+    """A session on the Hive metastore, unless the submitted job names another catalog."""
+    given = SparkConf()
+    builder = SparkSession.builder.appName("daybook")
+    named = ("spark.sql.catalogImplementation", "spark.sql.catalog.spark_catalog")
+    if not any(given.contains(key) for key in named):
+        builder = builder.enableHiveSupport()
+    return builder.getOrCreate()
+
+
 def main(arguments: list[str] | None = None) -> dict[str, int]:
     args = parse(arguments)
-    spark = SparkSession.builder.appName("daybook").getOrCreate()
+    spark = session()
     apply_cluster_settings(spark)
+    require_persistent_catalog(spark)
+    shared_dir(spark)  # fails before anything is read
     reader = JdbcReader(spark, source_options(args.source)) if args.source else None
     config = jobs.JobConfig(
         args.database,
@@ -57,6 +71,7 @@ def main(arguments: list[str] | None = None) -> dict[str, int]:
         args.lag_days,
         args.import_tasks,
         rebase_anchor=args.rebase_anchor,
+        concurrent_steps=args.concurrent_steps,
         database_location=args.database_location,
     )
     written = COMMANDS[args.command](spark, config, args.run_date)
