@@ -88,25 +88,63 @@ def compact_sales_fact(
     ).select(*REPORT_COLUMNS)
 
 
+def day_totals(
+    orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """The fact summed twice in one pass: per product and per customer.
+
+    ``per`` tells the two kinds of rows apart. Partial sums in the map tasks bound
+    the shuffle by tasks times distinct products and customers, however many items
+    there are. The grouping does not follow the partitioning of any join before it,
+    so adaptive execution is free to split a hot order or product there.
+    """
+    sold = join_items(join_orders(items, orders), products).join(
+        categories, F.col("product_category_id") == F.col("category_id"), "inner"
+    )
+    product = ["product_id", "category_id", "category_name", "category_department_id"]
+    rows = sold.select(
+        *product,
+        F.col("order_customer_id").alias("customer_id"),
+        "order_item_quantity",
+        "order_item_subtotal",
+    )
+    columns = [F.col(c) for c in (*product, "customer_id")]
+    return rows.groupingSets([columns[:-1], columns[-1:]], *columns).agg(
+        F.when(F.grouping("customer_id") == 1, "product").otherwise("customer").alias("per"),
+        F.sum("order_item_quantity").alias("order_item_quantity"),
+        F.sum("order_item_subtotal").alias("order_item_subtotal"),
+    )
+
+
+def per_product(totals: DataFrame) -> DataFrame:
+    """What the product, category and department reports read of ``day_totals``."""
+    return totals.where("per = 'product'").drop("per", "customer_id")
+
+
+def per_customer(totals: DataFrame) -> DataFrame:
+    """What the customer report reads of ``day_totals``."""
+    return totals.where("per = 'customer'").select(
+        "customer_id", "order_item_quantity", "order_item_subtotal"
+    )
+
+
 def customer_sales_fact(
     orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
     """The fact summed to one row per order, for reports by customer over long periods.
 
-    Holds ``customer_id`` and ``order_item_subtotal`` only. The items of an order
-    lie together in the files, so the map-side sums leave about one row per order
-    to shuffle, already partitioned for the join with orders.
+    Holds ``customer_id`` and ``order_item_subtotal`` only. The orders of the period
+    come first: where they can be broadcast they thin the items out before any
+    shuffle, whatever their ids are; otherwise items and orders meet by order id,
+    and the sums follow in the same partitions.
     """
-    with_product = join_items(items, products)
-    totals = (
-        with_product.join(
-            categories, F.col("product_category_id") == F.col("category_id"), "inner"
-        )
-        .groupBy("order_item_order_id")
-        .agg(F.sum("order_item_subtotal").alias("order_item_subtotal"))
+    sold = join_items(join_orders(items, orders), products).join(
+        categories, F.col("product_category_id") == F.col("category_id"), "inner"
     )
-    return join_orders(totals, orders).select(
-        F.col("order_customer_id").alias("customer_id"), "order_item_subtotal"
+    return (
+        sold.groupBy("order_item_order_id", F.col("order_customer_id").alias("customer_id"))
+        .agg(F.sum("order_item_subtotal").alias("order_item_subtotal"))
+        .select("customer_id", "order_item_subtotal")
     )
 
 

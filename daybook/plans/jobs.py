@@ -12,11 +12,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.context import RunContext
-from daybook.operators.facts import compact_sales_fact, customer_sales_fact
+from daybook.operators.facts import customer_sales_fact, day_totals, per_customer, per_product
 from daybook.operators.scans import items_in_order_range, orders_for_day, orders_for_month
 from daybook.plans import reports
 from daybook.schemas import REPORT_TABLES, SNAPSHOT_KEYS
-from daybook.session import create_scratch_database, drop_scratch_database
+from daybook.session import create_scratch_database, drop_scratch_database, shared_dir
 from daybook.sinks.tables import database_exists, ensure_database, qualified, replace_report
 from daybook.sources.ingest import import_orders_day, incremental_append, snapshot_import
 from daybook.sources.readers import Reader, RebasingReader
@@ -80,6 +80,7 @@ def _import(spark: SparkSession, config: JobConfig, ctx: RunContext, mode: str)
 
 def run_daily(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
     """Refresh the snapshots, load one day of orders and the new items, write all reports."""
+    shared_dir(spark)  # fails before anything is read
     ctx = RunContext(run_date, config.lag_days)
     _import(spark, config, ctx, "overwrite")
     return run_reports(spark, config, run_date)
@@ -91,6 +92,7 @@ def run_bootstrap(spark: SparkSession, config: JobConfig, run_date: date) -> dic
     The items stay loaded and their high-water mark stays at the newest id, so
     the next daily run adds only what is new.
     """
+    shared_dir(spark)
     ctx = RunContext(run_date, config.lag_days)
     ensure_database(spark, config.database, config.database_location)
     _import(spark, config, ctx, "create")
@@ -150,15 +152,16 @@ def _report_steps(
     yield step("order_status", reports.order_status, every_order)
 
     sales = orders_for_day(orders, ctx.txn_date)
-    fact = _store(
-        compact_sales_fact(sales, items_in_order_range(items, sales), products, categories),
-        qualified(scratch, "day_fact"),
+    totals = _store(
+        day_totals(sales, items_in_order_range(items, sales), products, categories),
+        qualified(scratch, "day_totals"),
     )
+    fact, spent = per_product(totals), per_customer(totals)
     yield step("category_sales", reports.category_sales, fact, departments)
     yield step("department_sales", reports.department_sales, fact, departments)
     yield step("top_products_qty", reports.top_products_qty, fact, products)
     yield step("top_products_amount", reports.top_products_amount, fact, products)
-    yield step("top_customers_day", reports.top_customers_day, fact, customers)
+    yield step("top_customers_day", reports.top_customers_day, spent, customers)
 
 
 def _store(df: DataFrame, table: str) -> DataFrame:

@@ -86,7 +86,7 @@ def top5(sums):
     return dict(sorted(sums.items(), key=lambda kv: (-kv[1], kv[0]))[:5])
 
 
-@pytest.mark.parametrize("build", [facts.sales_fact, facts.compact_sales_fact])
+@pytest.mark.parametrize("build", [facts.sales_fact, facts.compact_sales_fact, facts.day_totals])
 def test_reports_on_hot_keys(spark, conf, tables, expected, build):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -100,21 +100,46 @@ def test_reports_on_hot_keys(spark, conf, tables, expected, build):
         tables["categories"],
     )
 
+    by_product, by_customer = fact, fact
+    if build is facts.day_totals:
+        by_product, by_customer = facts.per_product(fact), facts.per_customer(fact)
+
     def result(df, key, value):
         return {r[key]: r[value] for r in df.collect()}
 
-    departments = reports.department_sales(fact, tables["departments"], CTX)
+    departments = reports.department_sales(by_product, tables["departments"], CTX)
     assert result(departments, "department_id", "total_sales") == dict(expected["department"])
-    categories = reports.category_sales(fact, tables["departments"], CTX)
+    categories = reports.category_sales(by_product, tables["departments"], CTX)
     assert result(categories, "category_id", "total_sales") == dict(expected["category"])
-    by_qty = reports.top_products_qty(fact, tables["products"], CTX)
+    by_qty = reports.top_products_qty(by_product, tables["products"], CTX)
     assert result(by_qty, "product_id", "total_qty") == top5(expected["qty"])
-    by_amount = reports.top_products_amount(fact, tables["products"], CTX)
+    by_amount = reports.top_products_amount(by_product, tables["products"], CTX)
     assert result(by_amount, "product_id", "total_amount") == top5(expected["amount"])
-    customers = reports.top_customers_day(fact, tables["customers"], CTX)
+    customers = reports.top_customers_day(by_customer, tables["customers"], CTX)
     assert result(customers, "customer_id", "total_amount") == top5(expected["customer"])
 
 
+def test_hot_product_is_split_with_categories_broadcast(spark, conf, tables, expected):
+    """Products are too many to broadcast, categories are not."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    totals = facts.day_totals(
+        scans.orders_for_day(tables["orders"], DAY),
+        tables["order_items"].repartition(8),
+        tables["products"],
+        F.broadcast(tables["categories"]),
+    )
+    top = reports.top_products_qty(facts.per_product(totals), tables["products"], CTX)
+    assert {r.product_id: r.total_qty for r in top.collect()} == top5(expected["qty"])
+    plan = top._jdf.queryExecution().toString()
+    final = plan[plan.index("== Physical Plan") :]
+    product_join = next(line for line in final.splitlines() if "SortMergeJoin" in line and "product" in line)
+    assert "skew=true" in product_join
+
+
 def test_customers_of_hot_orders_summed_per_order(spark, conf, tables, expected):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
