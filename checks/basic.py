@@ -27,14 +27,31 @@ from daybook.plans.reports import MONEY_SCALE, TOP_ROWS
 from daybook.schemas import MODEL, REPORT_TABLES
 from daybook.session import create_scratch_database
 from daybook.sinks.tables import qualified
+from daybook.sources import ingest
 from daybook.sources.readers import SourceFilter
 from daybook.sources.samples import SampleTables
 
+# Tasks that load many days at once.
+BACKFILL_TASKS = 8
+
 DAY, MONTH = in_day(DAILY), in_month(MONTHLY)
 
 
+_DAYS: dict[tuple, str] = {}
+
+
+def all_days(t: SampleTables):
+    """The orders of all days, partitioned by day as in the warehouse; loaded once a session."""
+    key = (t.spark.sparkContext.applicationId, t.root)
+    if key not in _DAYS:
+        database = create_scratch_database(t.spark)
+        ingest.load_orders_partitions(t.spark, t.orders(), database, BACKFILL_TASKS)
+        _DAYS[key] = qualified(database, "orders")
+    return t.spark.table(_DAYS[key])
+
+
 def day_orders(t: SampleTables):
-    return scans.orders_for_day(t.orders_on(DAILY), DAILY.txn_date)
+    return scans.orders_for_day(t.orders(), DAILY.txn_date)
 
 
 def day_fact(t: SampleTables):
@@ -42,7 +59,7 @@ def day_fact(t: SampleTables):
 
 
 def month_fact(t: SampleTables):
-    orders = scans.orders_for_month(t.orders_in_month(MONTHLY), MONTHLY)
+    orders = scans.orders_for_month(t.orders(), MONTHLY)
     return facts.sales_fact(orders, t.order_items(), t.products(), t.categories())
 
 
@@ -78,19 +95,19 @@ def scan_products(t):
     "scan_orders_day", statement(f"SELECT * FROM sales_orders WHERE {DAY} AND {SALES_ONLY}")
 )
 def scan_orders_day(t):
-    return day_orders(t)
+    return scans.orders_for_day(all_days(t), DAILY.txn_date)
 
 
 @query("scan_orders_day_all_status", statement(f"SELECT * FROM sales_orders WHERE {DAY}"))
 def scan_orders_day_all_status(t):
-    return scans.orders_for_day(t.orders_on(DAILY), DAILY.txn_date, all_statuses=True)
+    return scans.orders_for_day(all_days(t), DAILY.txn_date, all_statuses=True)
 
 
 @query(
     "scan_orders_month", statement(f"SELECT * FROM sales_orders WHERE {MONTH} AND {SALES_ONLY}")
 )
 def scan_orders_month(t):
-    return scans.orders_for_month(t.orders_in_month(MONTHLY), MONTHLY)
+    return scans.orders_for_month(all_days(t), MONTHLY)
 
 
 @query(
@@ -178,7 +195,7 @@ def project_period_column(t):
     ),
 )
 def project_star_plus_dt(t):
-    day = t.orders_on(DAILY).drop("dt").where(F.col("order_date") == DAILY.txn_date)
+    day = t.orders().drop("dt").where(F.col("order_date") == DAILY.txn_date)
     return periods.with_partition_day(day, DAILY.txn_date)
 
 
@@ -202,12 +219,12 @@ def filter_not_in(t):
 
 @query("filter_partition_eq", statement(f"SELECT * FROM sales_orders WHERE {DAY}"))
 def filter_partition_eq(t):
-    return t.orders_on(DAILY).where(periods.on_day(F.col("dt"), DAILY.txn_date))
+    return all_days(t).where(periods.on_day(F.col("dt"), DAILY.txn_date))
 
 
 @query("filter_month_prefix", statement(f"SELECT * FROM sales_orders WHERE {MONTH}"))
 def filter_month_prefix(t):
-    return t.orders_in_month(MONTHLY).where(periods.in_month(F.col("dt"), MONTHLY))
+    return all_days(t).where(periods.in_month(F.col("dt"), MONTHLY))
 
 
 @query(
@@ -224,7 +241,7 @@ def filter_source_date_eq(t):
 @query("filter_and", statement(f"SELECT * FROM sales_orders WHERE {MONTH} AND {SALES_ONLY}"))
 def filter_and(t):
     in_month_ = periods.in_month(F.col("dt"), MONTHLY)
-    return t.orders_in_month(MONTHLY).where(
+    return all_days(t).where(
         in_month_ & scans.exclude_status(F.col("order_status"))
     )
 
@@ -301,6 +318,23 @@ def fact_compact(t):
     return compact.withColumn("order_item_subtotal", F.round("order_item_subtotal", MONEY_SCALE))
 
 
+@query(
+    "fact_day_totals",
+    statement(
+        "SELECT 'product' AS per, product_id, category_id, category_name, "
+        f"category_department_id, CAST(NULL AS BIGINT) AS customer_id, {PIECES} AS order_item_quantity, "
+        f"{MONEY} AS order_item_subtotal FROM fact "
+        "GROUP BY product_id, category_id, category_name, category_department_id "
+        f"UNION ALL SELECT 'customer', NULL, NULL, NULL, NULL, customer_id, {PIECES}, {MONEY} "
+        "FROM fact GROUP BY customer_id",
+        fact=fact(DAY),
+    ),
+)
+def fact_day_totals(t):
+    sums = facts.day_totals(day_orders(t), t.order_items(), t.products(), t.categories())
+    return sums.withColumn("order_item_subtotal", F.round("order_item_subtotal", MONEY_SCALE))
+
+
 @query(
     "fact_by_order",
     statement(
@@ -310,7 +344,7 @@ def fact_compact(t):
     ),
 )
 def fact_by_order(t):
-    orders = scans.orders_for_month(t.orders_in_month(MONTHLY), MONTHLY)
+    orders = scans.orders_for_month(t.orders(), MONTHLY)
     by_order = facts.customer_sales_fact(orders, t.order_items(), t.products(), t.categories())
     return by_order.withColumn("order_item_subtotal", F.round("order_item_subtotal", MONEY_SCALE))
 
@@ -458,7 +492,7 @@ def agg_amount_by_product(t):
     ),
 )
 def agg_count_by_status(t):
-    orders = scans.orders_for_day(t.orders_on(DAILY), DAILY.txn_date, all_statuses=True)
+    orders = scans.orders_for_day(all_days(t), DAILY.txn_date, all_statuses=True)
     return metrics.count_by(orders, ["order_status"], "order_id", "order_count")
 
 
@@ -643,8 +677,8 @@ def fn_date_format(t):
 @query(
     "fn_period_values",
     statement(
-        f"SELECT order_id, '{DAILY.txn_date}' AS txn_date, '{DAILY.txn_month}' AS txn_month, "
-        f"dt = '{DAILY.txn_date}' AS in_day, substr(dt, 1, 7) = '{DAILY.txn_month}' AS in_month, "
+        "SELECT order_id, '2000-02-03' AS txn_date, '2000-01' AS txn_month, "
+        "dt = '2000-02-03' AS in_day, substr(dt, 1, 7) = '2000-01' AS in_month, "
         "substr(dt, 9, 2) = '01' AS is_month_start FROM sales_orders"
     ),
 )

@@ -53,12 +53,22 @@ def statement(query: str, **ctes: str) -> str:
     return "WITH " + ", ".join(f"{k} AS ({v})" for k, v in named.items()) + " " + query
 
 
+def day_of(ctx: RunContext) -> str:
+    """The reported day, derived from the run date by the other engine."""
+    return f"strftime(DATE '{ctx.run_date}' - {ctx.lag_days}, '%Y-%m-%d')"
+
+
+def month_of(ctx: RunContext) -> str:
+    first = f"date_trunc('month', DATE '{ctx.run_date}')"
+    return f"strftime({first} - INTERVAL 1 DAY, '%Y-%m')"
+
+
 def in_day(ctx: RunContext) -> str:
-    return f"dt = '{ctx.txn_date}'"
+    return f"dt = {day_of(ctx)}"
 
 
 def in_month(ctx: RunContext) -> str:
-    return f"substr(dt, 1, 7) = '{ctx.txn_month}'"
+    return f"substr(dt, 1, 7) = {month_of(ctx)}"
 
 
 def fact(period: str, orders: str = "sales_orders") -> str:
@@ -93,13 +103,13 @@ def report_ctes(ctx: RunContext, orders: str = "sales_orders", prefix: str = "")
 
     ctes[f"{p}category_sales"] = (
         "SELECT category_id, category_name, department_name, "
-        f"{MONEY} AS total_sales, '{ctx.txn_date}' AS txn_date "
+        f"{MONEY} AS total_sales, {day_of(ctx)} AS txn_date "
         f"FROM {p}fact JOIN departments ON category_department_id = department_id "
         "GROUP BY category_id, category_name, category_department_id, department_name"
     )
     ctes[f"{p}department_sales"] = (
         f"SELECT department_id, department_name, {MONEY} AS total_sales, "
-        f"'{ctx.txn_date}' AS txn_date "
+        f"{day_of(ctx)} AS txn_date "
         f"FROM {p}fact JOIN departments ON category_department_id = department_id "
         "GROUP BY department_id, department_name"
     )
@@ -111,16 +121,16 @@ def report_ctes(ctx: RunContext, orders: str = "sales_orders", prefix: str = "")
         ctes[f"{p}{report}_top"] = top(f"{p}{report}_sum", column, "product_id")
         ctes[f"{p}{report}"] = (
             "SELECT CAST(product_id AS INTEGER) AS product_id, product_name, "
-            f"CAST({column} AS DOUBLE) AS {column}, '{ctx.txn_date}' AS txn_date "
+            f"CAST({column} AS DOUBLE) AS {column}, {day_of(ctx)} AS txn_date "
             f"FROM {p}{report}_top JOIN products USING (product_id)"
         )
     ctes[f"{p}order_status"] = (
-        f"SELECT order_status, count(order_id) AS order_count, '{ctx.txn_date}' AS txn_date "
+        f"SELECT order_status, count(order_id) AS order_count, {day_of(ctx)} AS txn_date "
         f"FROM {orders} WHERE {in_day(ctx)} GROUP BY order_status"
     )
     for report, source, period in (
-        ("top_customers_day", f"{p}fact", f"'{ctx.txn_date}' AS txn_date"),
-        ("top_customers_month", f"{p}month_fact", f"'{ctx.txn_month}' AS txn_month"),
+        ("top_customers_day", f"{p}fact", f"{day_of(ctx)} AS txn_date"),
+        ("top_customers_month", f"{p}month_fact", f"{month_of(ctx)} AS txn_month"),
     ):
         ctes[f"{p}{report}_sum"] = totals("customer_id", MONEY, "total_amount", source)
         ctes[f"{p}{report}_top"] = top(f"{p}{report}_sum", "total_amount", "customer_id")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.basic import ANCHOR, REBASED
+from checks.basic import ANCHOR, BACKFILL_TASKS, REBASED
 from checks.oracle import LONG_COLUMNS, in_day, long_form, report, report_ctes, statement
 from checks.registry import DAILY, MONTHLY, query
 from daybook.context import RunContext
@@ -18,7 +18,7 @@ from daybook.operators.facts import sales_fact
 from daybook.operators.scans import orders_for_day
 from daybook.plans import jobs, reports
 from daybook.schemas import REPORT_TABLES
-from daybook.session import create_scratch_database
+from daybook.session import create_scratch_database, shared_dir
 from daybook.sinks import tables
 from daybook.sources import ingest
 from daybook.sources.readers import FrameReader
@@ -27,13 +27,12 @@ from daybook.sources.samples import SampleTables
 DAILY_REPORTS = [name for name in REPORT_TABLES if name != "top_customers_month"]
 # Two more reported days, used to check that other periods stay untouched.
 NEXT_DAY = RunContext(DAILY.run_date + timedelta(days=1))
-BACKFILL_TASKS = 8
 DAY_ORDERS = f"SELECT * FROM sales_orders WHERE {in_day(DAILY)}"
 
 
 def department_report(t: SampleTables, ctx: RunContext) -> DataFrame:
     fact = sales_fact(
-        orders_for_day(t.orders_on(ctx), ctx.txn_date),
+        orders_for_day(t.orders(), ctx.txn_date),
         t.order_items(),
         t.products(),
         t.categories(),
@@ -79,17 +78,28 @@ def import_orders_day(t):
 
 def _grow(t: SampleTables) -> tuple[FrameReader, FrameReader]:
     """The source as it was when half of the item ids existed, and as it is now."""
-    now = t.reader()
+    now = _wide_reader(t)
     items = now.frames["order_items"]
     middle = items.agg(F.floor(F.max("order_item_id") / 2)).first()[0]
     before = {**now.frames, "order_items": items.where(F.col("order_item_id") <= middle)}
     return replace(now, frames=before), now
 
 
+WIDE_ITEMS = "SELECT *, order_item_subtotal / order_item_quantity AS order_item_product_price FROM order_items"
+
+
+def _wide_reader(t: SampleTables) -> FrameReader:
+    """The source with an item column that the model does not have."""
+    source = t.reader()
+    price = F.col("order_item_subtotal") / F.col("order_item_quantity")
+    items = source.frames["order_items"].withColumn("order_item_product_price", price)
+    return replace(source, frames={**source.frames, "order_items": items})
+
+
 @query(
     "import_incremental_append",
     statement(
-        "SELECT *, (SELECT max(order_item_id) FROM order_items) AS last_value FROM order_items"
+        f"SELECT *, (SELECT max(order_item_id) FROM order_items) AS last_value FROM ({WIDE_ITEMS})"
     ),
 )
 def import_incremental_append(t):
@@ -105,8 +115,7 @@ def import_incremental_append(t):
 
 @query("import_partitioned_read", statement(f"SELECT order_id, order_status FROM ({DAY_ORDERS})"))
 def import_partitioned_read(t):
-    reader = replace(t.reader(), range_splits=True)
-    rows = ingest.read_orders_day(reader, DAILY.txn_date, tasks=2)
+    rows = ingest.read_orders_day(t.reader(), DAILY.txn_date, tasks=2)
     return rows.select("order_id", "order_status")
 
 
@@ -119,7 +128,7 @@ def import_create_mode(t):
     try:
         ingest.snapshot_import(t.spark, t.reader(), database, "categories", mode="create")
         refused = False
-    except AnalysisException:
+    except ingest.TableExistsError:
         refused = True
     rows = t.spark.table(tables.qualified(database, "categories"))
     return rows.withColumn("second_create_refused", F.lit(refused))
@@ -133,12 +142,12 @@ def import_overwrite_idempotent(t):
     return t.spark.table(tables.qualified(database, "customers"))
 
 
-@query("import_reset_reload", statement("SELECT * FROM order_items"))
+@query("import_reset_reload", statement(WIDE_ITEMS))
 def import_reset_reload(t):
     database = create_scratch_database(t.spark)
-    ingest.incremental_append(t.spark, t.reader(), database)
+    ingest.incremental_append(t.spark, _wide_reader(t), database)
     ingest.reset_incremental(t.spark, database)
-    ingest.incremental_append(t.spark, t.reader(), database)
+    ingest.incremental_append(t.spark, _wide_reader(t), database)
     return t.spark.table(tables.qualified(database, "order_items"))
 
 
@@ -161,10 +170,17 @@ def orders_dynamic_overwrite(t):
 # --- tables and partitions ---------------------------------------------------
 
 
+def _absent_database(t: SampleTables) -> tuple[str, str]:
+    """Name and folder of a database that does not exist."""
+    name = f"daybook_new_{uuid.uuid4().hex}"
+    return name, f"{shared_dir(t.spark)}/{name}"
+
+
 @query("ddl_create_database", statement("SELECT * FROM departments"))
 def ddl_create_database(t):
-    database = create_scratch_database(t.spark)
-    tables.ensure_database(t.spark, database)  # exists already: no error, nothing lost
+    database, folder = _absent_database(t)
+    tables.ensure_database(t.spark, database, folder)
+    tables.ensure_database(t.spark, database, folder)  # exists already: no error, nothing lost
     ingest.snapshot_import(t.spark, t.reader(), database, "departments")
     tables.ensure_database(t.spark, database)
     return t.spark.table(tables.qualified(database, "departments"))
@@ -185,11 +201,12 @@ def ddl_database_exists(t):
     )
 
 
-@query("ddl_create_orders", statement(DAY_ORDERS))
+@query("ddl_create_orders", statement("SELECT * FROM sales_orders"))
 def ddl_create_orders(t):
     database = create_scratch_database(t.spark)
     table = tables.ensure_orders_table(t.spark, database)
-    tables.insert_partitions(t.orders_on(DAILY), table, t.spark.table(table).columns)
+    rows = t.orders().repartitionByRange(BACKFILL_TASKS, "dt", "order_id")
+    tables.insert_partitions(rows, table, t.spark.table(table).columns)
     tables.ensure_orders_table(t.spark, database)
     return t.spark.table(table)
 
@@ -271,11 +288,28 @@ def _long_form(t: SampleTables, database: str, names: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows(name) for name in names])
 
 
-@query("job_daily", statement(long_form(DAILY_REPORTS), **report_ctes(DAILY)))
+TWO_RUNS = statement(
+    f"{long_form(DAILY_REPORTS)} UNION ALL {long_form(DAILY_REPORTS, prefix='next_')}",
+    **report_ctes(DAILY),
+    **report_ctes(NEXT_DAY, prefix="next_"),
+)
+
+
+@query("job_daily", TWO_RUNS)
 def job_daily(t):
     config = jobs.JobConfig(create_scratch_database(t.spark), t.reader())
-    jobs.run_daily(t.spark, config, DAILY.run_date)
-    jobs.run_daily(t.spark, config, DAILY.run_date)  # a second run changes nothing
+    for ctx in (DAILY, NEXT_DAY, DAILY):  # the repeated day changes nothing
+        jobs.run_daily(t.spark, config, ctx.run_date)
+    return _long_form(t, config.database, DAILY_REPORTS)
+
+
+@query("job_run", TWO_RUNS)
+def job_run(t):
+    """A first and a daily run, told apart by the job itself."""
+    database, folder = _absent_database(t)
+    config = jobs.JobConfig(database, t.reader(), database_location=folder)
+    for ctx in (DAILY, NEXT_DAY):
+        jobs.run(t.spark, config, ctx.run_date)
     return _long_form(t, config.database, DAILY_REPORTS)
 
 
@@ -292,16 +326,18 @@ FIRST_RUN = RunContext(ANCHOR)
     ),
 )
 def job_bootstrap(t):
-    database = create_scratch_database(t.spark)
-    config = jobs.JobConfig(database, t.reader(), rebase_anchor=ANCHOR)
+    database, folder = _absent_database(t)
+    config = jobs.JobConfig(
+        database, t.reader(), rebase_anchor=ANCHOR, database_location=folder
+    )
     jobs.run_bootstrap(t.spark, config, FIRST_RUN.run_date)
     return _long_form(t, database, DAILY_REPORTS)
 
 
-def loaded_warehouse(t: SampleTables, orders: DataFrame) -> jobs.JobConfig:
-    """A warehouse with the given orders and everything else imported."""
+def loaded_warehouse(t: SampleTables) -> jobs.JobConfig:
+    """A warehouse with all orders and everything else imported."""
     config = jobs.JobConfig(create_scratch_database(t.spark), t.reader())
-    ingest.load_orders_partitions(t.spark, orders, config.database, BACKFILL_TASKS)
+    ingest.load_orders_partitions(t.spark, t.orders(), config.database, BACKFILL_TASKS)
     for table in ingest.SNAPSHOT_KEYS:
         ingest.snapshot_import(t.spark, config.reader, config.database, table)
     ingest.incremental_append(t.spark, config.reader, config.database)
@@ -310,7 +346,7 @@ def loaded_warehouse(t: SampleTables, orders: DataFrame) -> jobs.JobConfig:
 
 @query("job_reports_only", statement(long_form(DAILY_REPORTS), **report_ctes(DAILY)))
 def job_reports_only(t):
-    config = loaded_warehouse(t, t.orders_on(DAILY))
+    config = loaded_warehouse(t)
     jobs.run_reports(t.spark, config, DAILY.run_date)
     return _long_form(t, config.database, DAILY_REPORTS)
 
@@ -322,7 +358,7 @@ def job_reports_only(t):
     ),
 )
 def job_month_gate(t):
-    config = loaded_warehouse(t, t.orders(MONTHLY.month_start, MONTHLY.run_date + timedelta(days=1)))
+    config = loaded_warehouse(t)
     second = date(MONTHLY.run_date.year, MONTHLY.run_date.month, 2)
     written = jobs.run_reports(t.spark, config, second)
     jobs.run_reports(t.spark, config, MONTHLY.run_date)

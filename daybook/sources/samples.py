@@ -103,9 +103,6 @@ class SampleTables:
     def orders_on(self, ctx: RunContext) -> DataFrame:
         return self.orders(ctx.txn_day, ctx.txn_day + timedelta(days=1))
 
-    def orders_in_month(self, ctx: RunContext) -> DataFrame:
-        return self.orders(ctx.month_start, ctx.month_end_excl)
-
     def source_orders(self, first: date | None = None, end: date | None = None) -> DataFrame:
         """Orders as a source database has them: without the partition column."""
         return self.orders(first, end).drop("dt")
