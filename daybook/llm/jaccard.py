@@ -30,9 +30,9 @@ from daybook.llm.components import components
 
 # Documents in whose prefix a gram may stand before it is moved to the end.
 COMMON = 50
-# Pairs still apart, per entry of the lists they come from, that are worth
-# forming at once; beyond that another hub is tried first.
-PAIRS_PER_ENTRY, STAR_ROUNDS = 4, 6
+# Lists of more nodes than this try a second hub before their pairs that are still
+# apart are formed; lists of grams that are not common are shorter.
+LONG = 2 * COMMON
 # Bytes of text that are hashed together.
 SLICE = 1 << 20
 
@@ -59,8 +59,8 @@ class Similarity:
         p = self.prefix(n)
         return min(n, p + p // 2 + 4)
 
-    def linked(self, shared: int, a: int, b: int) -> bool:
-        return self.of * shared >= self.part * (a + b - shared)
+    def linked(self, shared: Column, a: Column, b: Column) -> Column:
+        return shared * self.of >= (a + b - shared) * self.part
 
     def fits(self, a: Column, b: Column) -> Column:
         """Sizes that a link allows."""
@@ -220,29 +220,15 @@ def _near(similar: Similarity):
     return run
 
 
-def _verify(similar: Similarity):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (left, right), keep = batch.columns[2:], []
-            for i in range(len(batch)):
-                x = left[i].values.to_numpy(zero_copy_only=False)
-                y = right[i].values.to_numpy(zero_copy_only=False)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(similar.linked(shared, len(x), len(y)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(keep)], names=["a", "b", "linked"]
-            )
-
-    return run
-
-
 def _prefixes(docs: DataFrame, nodes: DataFrame, similar: Similarity) -> DataFrame:
-    """(v, n, prefix) of every node, under one order of grams for all.
-
-    A gram is common if more than COMMON nodes put it forward; that is a property
-    of the gram, so every node orders it alike. Nodes whose reach has too few other
-    grams look all their grams up.
+    """(space, v, n, prefix, wide) of every node, under one order of grams per space.
+
+    Space 0 has all nodes. A gram is common if more than COMMON nodes put it
+    forward; that is a property of the gram, so every node orders it alike. Nodes
+    whose reach has too few other grams look all their grams up, and are called
+    wide. Space 1 has the wide nodes alone, ordered by how many of them have a gram:
+    what sets a node of a large group of near copies apart then comes first. Pairs
+    of wide nodes are looked for there only.
     """
     offered = nodes.select("v", F.explode("reach").alias("gram"))
     common = stored(offered.groupBy("gram").count().where(F.col("count") > COMMON).select("gram"))
@@ -263,19 +249,32 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, similar: Similarity) -> DataFra
     first = stored(
         ordered(nodes.select("v", "n", "reach"), "reach")
         .withColumn("p", size.cast("int"))
-        .withColumn("short", (F.size("rare") < F.col("p")) & (F.size("reach") < F.col("n")))
+        .withColumn("wide", (F.size("rare") < F.col("p")) & (F.size("reach") < F.col("n")))
         .withColumn("prefix", F.slice(F.concat("rare", "common"), F.lit(1), F.col("p")))
-        .select("v", "n", "p", "prefix", "short")
+        .select("v", "n", "p", "prefix", "wide")
     )
-    wide = stored(first.where("short").select("v"))
-    whole = _keep(docs, wide).mapInArrow(_full_sets(similar.words), "v long, grams array<long>")
-    deep = (
-        ordered(whole.join(first.where("short").select("v", "n", "p"), "v"), "grams")
-        .where(F.size("grams") == F.col("n"))
-        .withColumn("prefix", F.slice(F.concat("rare", "common"), F.lit(1), F.col("p")))
+    wide = first.where("wide").select("v", "n", "p")
+    whole = _keep(docs, stored(wide.select("v"))).mapInArrow(
+        _full_sets(similar.words), "v long, grams array<long>"
+    )
+    whole = stored(whole.join(wide, "v").where(F.size("grams") == F.col("n")))
+    by_hash = ordered(whole, "grams").withColumn(
+        "prefix", F.slice(F.concat("rare", "common"), F.lit(1), F.col("p"))
+    )
+    grams = whole.select("v", "n", "p", F.explode("grams").alias("gram"))
+    frequency = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    by_frequency = (
+        grams.join(frequency, "gram")
+        .groupBy("v", "n", "p")
+        .agg(F.sort_array(F.collect_set(F.struct("df", "gram"))).alias("grams"))
+        .withColumn("prefix", F.slice(F.col("grams.gram"), F.lit(1), F.col("p")))
     )
-    columns = ["v", "n", "prefix"]
-    return first.where("not short").select(columns).unionByName(deep.select(columns))
+    columns = ["v", "n", "prefix", "wide"]
+    return (
+        first.where("not wide").select(F.lit(0).alias("space"), *columns)
+        .unionByName(by_hash.select(F.lit(0).alias("space"), "v", "n", "prefix", F.lit(True).alias("wide")))
+        .unionByName(by_frequency.select(F.lit(1).alias("space"), "v", "n", "prefix", F.lit(True).alias("wide")))
+    )
 
 
 class _Join:
@@ -284,15 +283,17 @@ class _Join:
     def __init__(self, docs: DataFrame, nodes: DataFrame, similar: Similarity) -> None:
         self.docs, self.nodes, self.similar = docs, nodes, similar
         prefixes = stored(_prefixes(docs, nodes, similar))
-        key = F.xxhash64("n", "prefix")
-        self.members = stored(
-            prefixes.select("v", "n", key.alias("g")).distinct()
-        )
-        groups = prefixes.groupBy("n", "prefix").agg(F.min("v").alias("leader")).withColumn("g", key)
-        entries = groups.select("g", "leader", "n", F.posexplode("prefix").alias("pos", "gram"))
+        key = F.xxhash64("space", "n", "wide", "prefix")
+        self.members = stored(prefixes.select("v", "n", key.alias("g")).distinct())
+        groups = prefixes.groupBy("space", "n", "wide", "prefix").agg(F.min("v").alias("leader"))
+        groups = groups.withColumn("g", key)
+        entries = groups.select(
+            "g", "leader", "n", (F.col("wide") & (F.col("space") == 0)).alias("wide"),
+            F.posexplode("prefix").alias("pos", "gram"), "space",
+        ).withColumn("gram", F.xxhash64("space", "gram"))
         # A gram that one group alone has in its prefix leads nowhere.
         shared = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-        self.entries = stored(entries.join(shared, "gram"))
+        self.entries = stored(entries.drop("space").join(shared, "gram"))
         self.groups = stored(groups.select("g", "leader", "n"))
         self.links = self.checked = None
 
@@ -303,7 +304,8 @@ class _Join:
     def _allowed(self) -> Column:
         need = self.similar.overlap(F.col("na"), F.col("nb"))
         room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-        return self.similar.fits(F.col("na"), F.col("nb")) & (room >= need)
+        elsewhere = F.col("wa") & F.col("wb")
+        return self.similar.fits(F.col("na"), F.col("nb")) & (room >= need) & ~elsewhere
 
     def first_round(self) -> DataFrame:
         """Every node beside the leader of its group, and every leader beside the hub of its lists."""
@@ -312,13 +314,14 @@ class _Join:
         return inside.unionByName(self._stars(self.entries.withColumnRenamed("leader", "v"), "gram", 0)).distinct()
 
     def _stars(self, lists: DataFrame, key: str, turn: int) -> DataFrame:
-        hub = F.struct(F.xxhash64("v", F.lit(turn)).alias("h"), F.col("v"), F.col("n"), F.col("pos"))
+        hub = F.struct(F.xxhash64("v", F.lit(turn)).alias("h"), F.col("v"), F.col("n"), F.col("pos"), F.col("wide"))
         hubs = lists.groupBy(key).agg(F.min(hub).alias("hub"))
         return (
             lists.join(hubs, key)
             .select(
                 F.col("hub.v").alias("a"), F.col("hub.n").alias("na"), F.col("hub.pos").alias("pa"),
                 F.col("v").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
+                F.col("hub.wide").alias("wa"), F.col("wide").alias("wb"),
             )
             .where((F.col("a") != F.col("b")) & self._allowed())
             .select("a", "b")
@@ -341,11 +344,12 @@ class _Join:
         near = stored(near)
         active = stored(near.select(F.col("a").alias("v")).unionByName(near.select(F.col("b").alias("v"))).distinct())
         sets = _keep(self.docs, active).mapInArrow(_full_sets(self.similar.words), "v long, grams array<long>")
+        shared = F.size(F.array_intersect("ga", "gb"))
         done = stored(
             near.join(sets.select(F.col("v").alias("b"), F.col("grams").alias("gb")), "b")
             .join(sets.select(F.col("v").alias("a"), F.col("grams").alias("ga")), "a")
-            .select("a", "b", "ga", "gb")
-            .mapInArrow(_verify(self.similar), "a long, b long, linked boolean")
+            .withColumn("shared", shared.cast("long"))
+            .select("a", "b", self.similar.linked(F.col("shared"), F.size("ga"), F.size("gb")).alias("linked"))
         )
         found = done.where("linked").select("a", "b")
         self.links = found if self.links is None else self.links.unionByName(found)
@@ -366,54 +370,57 @@ class _Join:
             .where("low < high").select("gram")
         )
         in_lists = (
-            self.entries.join(open_lists, "gram").select("g", "pos", F.col("gram").alias("key"))
-            .join(members, "g").select("key", "v", "n", "pos", "comp")
+            self.entries.join(open_lists, "gram").select("g", "pos", "wide", F.col("gram").alias("key"))
+            .join(members, "g").select("key", "v", "n", "pos", "wide", "comp")
         )
         in_groups = (
             members.join(spread.where("low < high").select("g"), "g")
-            .select(F.col("g").alias("key"), "v", "n", F.lit(0).alias("pos"), "comp")
+            .select(F.col("g").alias("key"), "v", "n", F.lit(0).alias("pos"), F.lit(False).alias("wide"), "comp")
         )
         return stored(in_lists.unionByName(in_groups))
 
-    def remaining(self, lists: DataFrame) -> tuple[int, int]:
-        """Entries, and pairs of entries in different components."""
-        per_list = lists.groupBy("key", "comp").count().groupBy("key").agg(
-            F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("same")
-        )
-        row = per_list.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()
-        return row[0] or 0, int(row[1] or 0)
-
     def all_pairs(self, lists: DataFrame) -> DataFrame:
-        a = lists.select("key", F.col("v").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-        b = lists.select("key", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
-        joined = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & self._allowed())
-        return joined.select("a", "b").distinct()
+        """Pairs of different components that share a list and may be similar enough."""
+
+        def side(name: str) -> DataFrame:
+            return lists.select(
+                "key", F.col("v").alias(name), F.col("n").alias(f"n{name}"),
+                F.col("pos").alias(f"p{name}"), F.col("comp").alias(f"c{name}"),
+                F.col("wide").alias(f"w{name}"),
+            )
+
+        joined = side("a").join(side("b"), "key").where("a < b and ca <> cb")
+        return joined.where(self._allowed()).select("a", "b").distinct()
+
+    def more_stars(self, lists: DataFrame, turn: int) -> DataFrame:
+        """Every node of a list beside one more hub, where their components differ."""
+        comp = lists.select("v", "comp").distinct()
+        return (
+            self._stars(lists, "key", turn)
+            .join(comp.select(F.col("v").alias("a"), F.col("comp").alias("ca")), "a")
+            .join(comp.select(F.col("v").alias("b"), F.col("comp").alias("cb")), "b")
+            .where("ca <> cb").select("a", "b")
+        )
 
     def run(self) -> DataFrame:
+        """(v, component) of all linked nodes."""
         self.check(self.first_round(), one_each=True)
-        turn = 0
-        while True:
-            labels = stored(self._labels())
-            lists = self.apart(labels)
-            entries, pairs = self.remaining(lists)
-            if not pairs:
-                return labels
-            turn += 1
-            last = pairs <= PAIRS_PER_ENTRY * entries or turn > STAR_ROUNDS
-            if last:
-                wanted = self.all_pairs(lists)
-            else:
-                others = self._stars(lists, "key", turn)
-                comp = lists.select("v", "comp").distinct()
-                wanted = (
-                    others.join(comp.select(F.col("v").alias("a"), F.col("comp").alias("ca")), "a")
-                    .join(comp.select(F.col("v").alias("b"), F.col("comp").alias("cb")), "b")
-                    .where("ca <> cb").select("a", "b")
-                )
-            wanted = wanted.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            self.check(wanted.join(self.checked, ["a", "b"], "left_anti"), one_each=False)
-            if last:
-                return stored(self._labels())
+        lists = self.apart(stored(self._labels()))
+        sizes = stored(lists.groupBy("key").count().where(F.col("count") > LONG).select("key"))
+        long = not sizes.isEmpty()
+        wanted = self.all_pairs(lists.join(sizes, "key", "left_anti") if long else lists)
+        if long:
+            keys = small_side(sizes)
+            wanted = wanted.unionByName(self.more_stars(lists.join(keys, "key"), 1))
+        self.check_new(wanted)
+        if long:
+            lists = self.apart(stored(self._labels())).join(keys, "key")
+            self.check_new(self.all_pairs(lists))
+        return stored(self._labels())
+
+    def check_new(self, pairs: DataFrame) -> None:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        self.check(pairs.join(self.checked, ["a", "b"], "left_anti"), one_each=False)
 
 
 def near_duplicates(docs: DataFrame, similar: Similarity = Similarity()) -> DataFrame:
