@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Sequence
 
@@ -23,11 +24,25 @@ def stored(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it from there.
 
     Later steps then neither repeat the work nor depend on any one executor.
-    The files stay until whoever owns the shared folder clears it.
+    The files stay until whoever owns the shared folder clears it. What the step
+    shuffled is needed no more; Spark removes shuffle files once the driver's JVM
+    has let go of their plan, so it is asked to look for garbage.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(stored_frame: DataFrame) -> None:
+    """Remove the files of a stored frame that nothing reads any more."""
+    spark = stored_frame.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in stored_frame.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Up to this many keys of 8 bytes are sent to every executor; more meet in a shuffle.

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import small_side, stored
+from daybook.llm.common import discard, small_side, stored
 from daybook.llm.components import components
 
 # Documents in whose prefix a gram may stand before it is moved to the end.
@@ -295,6 +295,7 @@ class _Join:
         shared = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
         self.entries = stored(entries.drop("space").join(shared, "gram"))
         self.groups = stored(groups.select("g", "leader", "n"))
+        discard(prefixes)
         self.links = self.checked = None
 
     def _labels(self) -> DataFrame:
@@ -314,7 +315,13 @@ class _Join:
         return inside.unionByName(self._stars(self.entries.withColumnRenamed("leader", "v"), "gram", 0)).distinct()
 
     def _stars(self, lists: DataFrame, key: str, turn: int) -> DataFrame:
-        hub = F.struct(F.xxhash64("v", F.lit(turn)).alias("h"), F.col("v"), F.col("n"), F.col("pos"), F.col("wide"))
+        # Few rarer grams before this one: the node that has least of its own, and so
+        # the one most likely to link with the others of a group of near copies.
+        least = F.col("pos") if turn == 0 else F.lit(0)
+        hub = F.struct(
+            least.alias("own"), F.xxhash64("v", F.lit(turn)).alias("h"),
+            F.col("v"), F.col("n"), F.col("pos"), F.col("wide"),
+        )
         hubs = lists.groupBy(key).agg(F.min(hub).alias("hub"))
         return (
             lists.join(hubs, key)
@@ -445,9 +452,11 @@ def near_duplicates(docs: DataFrame, similar: Similarity = Similarity()) -> Data
             F.col("first.reach").alias("reach"), F.col("first.sig").alias("sig"),
         )
     )
+    wide, prints = prints, stored(prints.select("doc_id", "n", "f1", "f2"))
+    discard(wide)
     labels = _Join(rows, nodes, similar).run()
     same = nodes.where("rows > 1").select("n", "f1", "f2", "v")
-    placed = prints.select("doc_id", "n", "f1", "f2").join(same, ["n", "f1", "f2"], "left")
+    placed = prints.join(same, ["n", "f1", "f2"], "left")
     return (
         placed.withColumn("v", F.coalesce("v", "doc_id"))
         .join(labels, "v", "left")
