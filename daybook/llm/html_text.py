@@ -33,7 +33,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Their content is never text of the page.
 RAW = frozenset("script style textarea title noscript iframe template svg math select".split())
-# Elements that hold no part of an article.
+# Elements that hold no part of an article, unless they are wrapped around it.
 ASIDE = frozenset("nav header footer aside form button dialog menu label option".split())
 # What an opening tag ends when it is still open.
 ENDS = {
@@ -45,15 +45,25 @@ _LINE = BLOCKS - {"p"}
 # Where such an ending stops looking.
 SCOPES = {"li": ("ul", "ol", "menu"), "td": ("table",), "th": ("table",), "tr": ("table",)}
 
-# Words in a class or id that mark parts which are not the article.
-_BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|byline|comments?|commentlist|consent|"
-    r"cookies?|copyright|dialog|disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|"
-    r"navigation|newsletter|notices?|notifications?|pager|pagination|popup|promos?|promoted|promotion|"
-    r"recommended|related|replies|reply|respond|share|sharing|sidebar|signup|skip|skyscraper|social|"
-    r"sponsor\w*|subscribe|subscription|tags|toolbar|tooltip|widgets?)(?=$|[\s_-])",
-    re.I,
+# Words in a class or id that mark parts which are not the article: of the layout, and
+# notices or readers' words, which may well be longer than a short article.
+_LAYOUT = re.compile(
+    r"banner|breadcrumbs?|byline|dialog|footer|header|login|masthead|menu|modal|nav|navbar|navigation|"
+    r"pager|pagination|popup|share|sharing|sidebar|signup|skip|skyscraper|social|tags|toolbar|tooltip|widgets?"
 )
+_NOTICE = re.compile(
+    r"ads?|advert\w*|adsense|comments?|commentlist|consent|cookies?|copyright|disqus|gdpr|newsletter|"
+    r"notices?|notifications?|promos?|promoted|promotion|recommended|related|replies|reply|respond|"
+    r"sponsor\w*|subscribe|subscription"
+)
+# A compound is a mark if it ends in such a word, or goes on with these after it.
+_NEUTRAL = re.compile(
+    r"\d.*|area|articles|bar|block|body|bottom|box|buttons?|col|column|container|desktop|fixed|form|group|"
+    r"holder|icons?|inner|items?|left|links?|list|message|meta|mobile|module|outer|overlay|panel|posts|"
+    r"primary|region|right|row|secondary|section|slot|sticky|stories|text|title|top|unit|wrap|wrapper|zone"
+)
+# A name with one of these tells about something else on the page.
+_ABOUT = frozenset("has have no non not with without".split())
 _GOOD = re.compile(r"article|body|content|entry|main|post|story|text", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
@@ -65,7 +75,8 @@ PARAGRAPH_WEIGHT = 25
 class Element:
     tag: str
     parent: int
-    aside: bool
+    mark: str = ""
+    aside: bool = False
     bonus: float = 0.0
     points: float = 0.0
     chars: int = 0
@@ -78,24 +89,46 @@ def _attributes(source: str) -> dict[str, str]:
     }
 
 
-def _element(tag: str, source: str, parent: int, within: bool) -> Element:
-    aside, bonus = within or tag in ASIDE, 0.0
+def _named(names: str) -> str:
+    """What the words of a class and an id mark: a notice, a part of the layout or nothing."""
+    found = ""
+    for name in names.lower().split():
+        parts = [p for p in re.split("[-_]+", name) if p]
+        if not _ABOUT.isdisjoint(parts):
+            continue
+        for part in reversed(parts):
+            if _NOTICE.fullmatch(part):
+                return "notice"
+            if _LAYOUT.fullmatch(part):
+                found = "layout"
+            elif not _NEUTRAL.fullmatch(part):
+                break
+    return found
+
+
+def _element(tag: str, source: str, parent: int) -> Element:
+    mark, bonus = "form" if tag == "form" else "tag" if tag in ASIDE else "", 0.0
     if tag in ("article", "main"):
         bonus = 25.0
     if source.strip():
         given = _attributes(source)
         names = f"{given.get('class', '')} {given.get('id', '')}"
-        aside = (
-            aside
-            or "hidden" in given
+        named = "" if tag in ("html", "body", "article", "main") else _named(names)
+        if (
+            "hidden" in given
             or given.get("aria-hidden") == "true"
-            or given.get("role") in _ROLES
-            or bool(_HIDDEN.search(given.get("style", "")))
-            or (tag not in ("html", "body", "article", "main") and bool(_BOILERPLATE.search(names)))
-        )
+            or _HIDDEN.search(given.get("style", ""))
+        ):
+            mark = "hidden"
+        elif named == "notice":
+            mark = named
+        elif given.get("role") in _ROLES:
+            mark = "tag"
+        elif mark != "tag":
+            mark = named or mark
         if _GOOD.search(names):
             bonus += 10.0
-    return Element(tag, parent, aside, bonus)
+    return Element(tag, parent, mark, bonus=bonus)
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
@@ -104,7 +137,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
     Unclosed and stray tags are read as a browser would: an opening block ends an
     open paragraph, an end tag ends whatever is open inside its element.
     """
-    elements = [Element("#page", -1, False)]
+    elements = [Element("#page", -1)]
     blocks: list[tuple[int, str, int]] = []
     stack, current, run, linked, links = [0], 0, [], 0, 0
     at, n = 0, len(page)
@@ -118,7 +151,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             run, linked = [], 0
 
     def owner() -> int:
-        return next(e for e in reversed(stack) if e == 0 or elements[e].tag in BLOCKS or elements[e].aside)
+        return next(e for e in reversed(stack) if e == 0 or elements[e].tag in BLOCKS or elements[e].mark)
 
     def add(text: str) -> None:
         nonlocal linked
@@ -163,7 +196,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             depth = find((tag,), () if tag in BLOCKS else _LINE)
             if depth is None:
                 continue
-            if tag in BLOCKS or elements[stack[depth]].aside != elements[stack[depth - 1]].aside:
+            if tag in BLOCKS or elements[stack[depth]].mark:
                 close(depth)
             else:
                 for e in stack[depth:]:
@@ -193,9 +226,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             if depth is not None:
                 links -= 1
                 del stack[depth]
-        above = elements[stack[-1]]
-        new = _element(tag, found.group(3), stack[-1], above.aside)
-        if new.aside and not above.aside:
+        new = _element(tag, found.group(3), stack[-1])
+        if new.mark:
             flush(owner())
         elements.append(new)
         stack.append(len(elements) - 1)
@@ -204,9 +236,68 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
     return elements, blocks
 
 
+def _set_aside(elements: list[Element], blocks: list[tuple[int, str, int]]) -> None:
+    """Mark what is left out: all inside a marked element, unless the article lies in it.
+
+    A mark other than hidden is ignored on an element that holds the page's main or
+    article, on a form with most of the unlinked paragraphs outside of marks, and on a
+    named part of the layout with four times as many. A notice holding an article must
+    leave none of them outside. Outer elements come first, then those with more text.
+    """
+    over, level, hidden = [], [], []
+    holds: dict[int, set[str]] = {}
+    for i, e in enumerate(elements):
+        up = over[e.parent] if i else -1
+        over.append(i if e.mark else up)
+        level.append((level[e.parent] if i else 0) + bool(e.mark))
+        hidden.append(e.mark == "hidden" or bool(i) and hidden[e.parent])
+    text, own, free = [0] * len(elements), [0] * len(elements), 0
+    for owner, words, linked in blocks:
+        unlinked = len(words) - min(linked, len(words))
+        if unlinked < PARAGRAPH_WEIGHT or hidden[owner]:
+            continue
+        if over[owner] < 0:
+            free += unlinked
+        else:
+            own[over[owner]] += unlinked
+        element = owner
+        while element >= 0:
+            text[element] += unlinked
+            # What a notice holds says nothing about the elements around it.
+            element = -1 if elements[element].mark == "notice" else elements[element].parent
+    nearest = set()
+    for i, e in enumerate(elements):
+        if e.tag in ("article", "main") and text[i]:
+            nearest.add(over[i])
+            mark = over[i]
+            while mark >= 0:
+                holds.setdefault(mark, set()).add(e.tag)
+                up = elements[mark].parent
+                mark = -1 if elements[mark].mark == "notice" else over[up]
+    marked = [i for i, e in enumerate(elements) if e.mark and not hidden[i] and text[i]]
+    outside, spared = -1 in nearest, set()
+    for i in sorted(marked, key=lambda i: (level[i], -text[i])):
+        mark, up = elements[i].mark, over[elements[i].parent]
+        if up >= 0 and up not in spared:
+            continue
+        most = text[i] > free if mark != "notice" else free == 0
+        held = holds.get(i, ())
+        if (
+            (not outside and ("main" in held or "article" in held and most))
+            or (mark == "form" and most)
+            or (mark == "layout" and text[i] > 4 * free)
+        ):
+            spared.add(i)
+            free += own[i]
+            outside |= i in nearest
+    for i, e in enumerate(elements):
+        e.aside = (bool(e.mark) and i not in spared) or bool(i) and elements[e.parent].aside
+
+
 def main_blocks(page: str) -> list[str]:
     """The blocks of the article, in page order."""
     elements, blocks = parse(page)
+    _set_aside(elements, blocks)
     blocks = [b for b in blocks if not elements[b[0]].aside]
     for owner, text, linked in blocks:
         weight = 1.0 if len(text) >= PARAGRAPH_WEIGHT else 0.25

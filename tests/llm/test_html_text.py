@@ -43,3 +43,31 @@ def test_rows(spark):
     head = "\n\n".join(PAGES[3][1])
     assert found == sorted([(1, "u", head), (1, "u", head), (2, None, ""), (None, "u", ""), (3, "u", "x")], key=str)
     assert main_text(pages.where("false")).count() == 0
+
+
+WRAPPERS = [
+    "<div class='layout has-sidebar'>", "<div class=page-with-header>", "<div class='no-comments'>",
+    "<section class=related-work>", "<form id=aspnetForm method=post>", "<div id=sidebar-wrapper>",
+    "<form><div class='widget'>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrapped_article(wrapper, tag):
+    page = (
+        f"<body><p>A line</p>{wrapper}<div class=sidebar><p>side, menu</p></div><{tag}><p>{TEXT}</p>"
+        f"<p>{MORE}</p><form>sign up</form></{tag}><div class=comments><p>{MORE} {MORE} {TEXT} {TEXT}</p></div>"
+    )
+    assert [b for b in main_blocks(page) if b != "A line"] == [TEXT, MORE]
+
+
+def test_marked_parts_longer_than_the_article_stay_out():
+    long = f"<p>{MORE} {TEXT} {MORE}</p>"
+    for mark in ("comments", "cookie-notice", "sidebar", "comments-area"):
+        for tag in ("article", "div"):
+            page = f"<body><div class=content><p>{TEXT}</p></div><div class='{mark}'><{tag}>{long}</{tag}></div>"
+            if mark != "sidebar" or tag == "div":
+                assert main_blocks(page) == [TEXT]
+    assert main_blocks(f"<form hidden><article>{long}</article></form><p>{TEXT}</p>") == [TEXT]
+    assert main_blocks("<body><form><p>Sign in</p><label>Name</label></form>") == []
