@@ -2,8 +2,9 @@
 
 Every block of text gives points for its length and its commas to the elements
 above it, the nearest most; an element's points shrink with the share of its text
-that lies in links. The element with most points and those beside it that look
-alike are kept, without the menus, forms, notices and comments inside them.
+that lies in links. The element with most points is kept, and of those beside it the
+headings and all that have a paragraph and are not mostly links, without the menus,
+forms, notices and comments inside them.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",),
     "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"),
 }
+HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An end tag of an inline element looks no further than this.
 _LINE = BLOCKS - {"p"}
 # Where such an ending stops looking.
@@ -81,6 +83,7 @@ class Element:
     points: float = 0.0
     chars: int = 0
     linked: int = 0
+    paragraph: bool = False
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -312,6 +315,7 @@ def main_blocks(page: str) -> list[str]:
         while element >= 0:
             elements[element].chars += len(text)
             elements[element].linked += min(linked, len(text))
+            elements[element].paragraph |= len(text) - linked >= PARAGRAPH_WEIGHT
             element = elements[element].parent
 
     def score(e: Element) -> float:
@@ -327,15 +331,20 @@ def main_blocks(page: str) -> list[str]:
         if elements[element].tag in ("article", "main"):
             best = element
         element = elements[element].parent
-    threshold = max(10.0, 0.2 * scores[best])
     kept = {best}
-    if elements[best].tag not in ("article", "main", "body", "html", "#page"):
+    whole = ("article", "main", "body", "html", "#page")
+    if elements[best].tag not in whole:
+        # A wrapper of nothing else has its siblings one level up.
+        while elements[up := elements[best].parent].tag not in whole and elements[up].chars == elements[best].chars:
+            best = up
         kept |= {
             i for i, e in enumerate(elements)
             if e.parent == elements[best].parent and not e.aside
-            and (scores[i] >= threshold or e.tag in ("h1", "h2", "h3", "p"))
+            and (e.tag in HEADS or e.tag == "p" or (e.paragraph and e.linked < 0.5 * e.chars))
         }
+        kept.add(best)
     else:
+        threshold = max(10.0, 0.2 * scores[best])
         kept |= {
             i for i, e in enumerate(elements)
             if e.tag == elements[best].tag and e.parent == elements[best].parent

@@ -71,3 +71,16 @@ def test_marked_parts_longer_than_the_article_stay_out():
                 assert main_blocks(page) == [TEXT]
     assert main_blocks(f"<form hidden><article>{long}</article></form><p>{TEXT}</p>") == [TEXT]
     assert main_blocks("<body><form><p>Sign in</p><label>Name</label></form>") == []
+
+
+def test_short_sections_beside_a_long_one():
+    short = "A closing paragraph, of three hundred characters at most, with its own commas, and no more. " * 3
+    short, links = short.strip(), "<div><a href=1>a linked line of the menu</a> and <a href=2>another of them</a></div>"
+    for tag in ("section", "div"):
+        long = f"<{tag}>" + f"<p>{TEXT}</p>" * 10 + f"</{tag}>"
+        parts = f"<{tag}><p>{MORE}</p></{tag}>{long}{links}<h4>End</h4><{tag}><p>{short}</p></{tag}>"
+        wanted = [MORE, *[TEXT] * 10, "End", short]
+        assert main_blocks(f"<body><div id=page>{parts}</div>") == wanted
+        assert main_blocks(f"<body>{parts}") == wanted
+        apart = parts.replace(long, f"<div><div>{long}</div></div>")
+        assert main_blocks(f"<body><div id=page>{apart}</div>") == wanted
