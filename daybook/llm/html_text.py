@@ -33,7 +33,12 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Their content is never text of the page.
-RAW = frozenset("script style textarea title noscript iframe template svg math select".split())
+RAW = frozenset(
+    "script style textarea title noscript iframe template svg select annotation annotation-xml".split()
+)
+# What these open goes on to the end of the page if it is never closed, as in a browser;
+# of the others only the tag is skipped.
+TO_THE_END = frozenset("script style textarea title".split())
 # Elements that hold no part of an article, unless they are wrapped around it.
 ASIDE = frozenset("nav header footer aside form button dialog menu label option".split())
 # What an opening tag ends when it is still open.
@@ -143,7 +148,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
     elements = [Element("#page", -1)]
     blocks: list[tuple[int, str, int]] = []
     stack, current, run, linked, links = [0], 0, [], 0, 0
-    at, n = 0, len(page)
+    at, n, unclosed = 0, len(page), set()
 
     def flush(owner: int) -> None:
         nonlocal run, linked
@@ -208,8 +213,13 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             continue
         if tag in RAW:
             if not found.group(3).rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
+                end = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in TO_THE_END:
+                    at = n
+                else:
+                    unclosed.add(tag)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -220,6 +230,9 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
         if tag in BLOCKS:
             depth = find(("p",), ("table", "td", "th", "li", "div", "article", "section"))
             close(depth) if depth is not None else flush(owner())
+            depth = find(("option",), BLOCKS)
+            if depth is not None:
+                close(depth)
             if tag in ENDS:
                 depth = find(ENDS[tag], SCOPES.get(tag, ("dl",)))
                 if depth is not None:
@@ -297,6 +310,30 @@ def _set_aside(elements: list[Element], blocks: list[tuple[int, str, int]]) -> N
         e.aside = (bool(e.mark) and i not in spared) or bool(i) and elements[e.parent].aside
 
 
+def _leading_menus(elements: list[Element], blocks: list[tuple[int, str, int]]) -> set[int]:
+    """Lists of links before the first heading or paragraph.
+
+    Where no element bounds the article, it starts there.
+    """
+    started = (
+        owner for owner, text, linked in blocks
+        if elements[owner].tag in HEADS or len(text) - linked >= PARAGRAPH_WEIGHT
+    )
+    first = next(started, len(elements))
+    links, around = [0] * len(elements), set()
+    for i in range(len(elements) - 1, 0, -1):
+        links[i] += elements[i].tag == "a"
+        links[elements[i].parent] += links[i]
+    element = first if first < len(elements) else -1
+    while element >= 0:
+        around.add(element)
+        element = elements[element].parent
+    return {
+        i for i, e in enumerate(elements[:first])
+        if e.tag in ("ul", "ol", "table", "div") and links[i] > 1 and e.linked > 0.8 * e.chars and i not in around
+    }
+
+
 def main_blocks(page: str) -> list[str]:
     """The blocks of the article, in page order."""
     elements, blocks = parse(page)
@@ -350,10 +387,10 @@ def main_blocks(page: str) -> list[str]:
             if e.tag == elements[best].tag and e.parent == elements[best].parent
             and not e.aside and scores[i] >= threshold
         }
+    left = _leading_menus(elements, blocks) if elements[best].tag in ("body", "html", "#page") else set()
     inside: list[bool] = []
     for i, e in enumerate(elements):
-        listing = e.tag in ("ul", "ol", "table", "div") and e.linked > 0.8 * max(1, e.chars) and i not in kept
-        inside.append((i in kept or (e.parent >= 0 and inside[e.parent])) and not listing)
+        inside.append(i in kept or (e.parent >= 0 and inside[e.parent] and i not in left))
     return [text for owner, text, _ in blocks if inside[owner]]
 
 

@@ -84,3 +84,33 @@ def test_short_sections_beside_a_long_one():
         assert main_blocks(f"<body>{parts}") == wanted
         apart = parts.replace(long, f"<div><div>{long}</div></div>")
         assert main_blocks(f"<body><div id=page>{apart}</div>") == wanted
+
+
+def test_linked_parts_of_the_article_stay():
+    lists = (
+        "<ul><li><a href=1>Reference one</a><li><a href=2>Reference two</a></ul>",
+        "<ol><li>a point<ul><li><a href=1>Reference one</a><li><a href=2>Reference two</a></ul></ol>",
+        "<table><tr><td><a href=1>Reference one</a><td><a href=2>Reference two</a></table>",
+        "<div><a href=1>Reference one</a></div><div><a href=2>Reference two</a></div>",
+    )
+    menu = "<ul><li><a href=x>Home</a><li><a href=y>About us</a></ul>"
+    for part in lists:
+        point = ["a point"] * ("a point" in part)
+        wanted = [TEXT, *point, "Reference one", "Reference two", MORE]
+        inside = f"<p>{TEXT}</p>{part}<p>{MORE}</p><ul class=menu><li><a href=z>Next</a></ul>"
+        for page in (f"<article>{inside}</article>", f"{menu}<div class=content>{inside}</div>", f"<body>{menu}{inside}"):
+            assert main_blocks(page) == wanted
+
+
+def test_missing_end_tags_and_formulas():
+    for tag in ("select", "svg", "template", "noscript", "iframe"):
+        assert main_blocks(f"<article><p>{TEXT}</p><{tag}><p>{MORE}</p></article>") == [TEXT, MORE]
+        closed = f"<article><{tag}>no</{tag}><p>{TEXT}</p><{tag}><p>{MORE}</p></article>"
+        assert main_blocks(closed) == [TEXT, MORE]
+    assert main_blocks(f"<article><select><option>no<p>{TEXT}</p></article>") == [TEXT]
+    formula = "<math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math>"
+    assert main_blocks(f"<article><p>{TEXT} {formula} holds</p>") == [f"{TEXT} x=2 holds"]
+    assert main_blocks(f"<article><p>{TEXT}</p><math><mi>y</mi><p>{MORE}</p>") == [TEXT, "y", MORE]
+    for tag in ("script", "style", "textarea", "title"):
+        assert main_blocks(f"<article><p>{TEXT}</p><{tag}>no <p>{MORE}") == [TEXT]
+    main_blocks("<svg>" * 20_000 + f"<p>{TEXT}")
