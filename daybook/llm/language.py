@@ -120,7 +120,7 @@ def _sparse(text: str, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
         for _, features in grams.hashed(rows, codes):
             counts += np.bincount(features, minlength=FEATURES)
     at = np.flatnonzero(counts)
-    return at, counts[at] / max(1.0, counts.sum())
+    return at.astype(np.int32), counts[at] / max(1.0, counts.sum())
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +156,7 @@ def inverse_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def fit_language(sample: pd.DataFrame, idf: np.ndarray, seed: int = 5) -> LanguageModel:
-    """Train on text and lang; every fifth row is kept for the temperature."""
+    """Train on text and lang; every fifth document is kept for the temperature."""
     langs = sorted(set(sample["lang"]))
     if len(langs) < 1:
         return LanguageModel([], np.zeros((0, FEATURES)), np.zeros(0))
@@ -164,7 +164,7 @@ def fit_language(sample: pd.DataFrame, idf: np.ndarray, seed: int = 5) -> Langua
     target = np.searchsorted(langs, sample["lang"])
     rows = [_sparse(text, grams) for text in sample["text"]]
     rows = [(at, SCALE * tf * idf[at]) for at, tf in rows]
-    aside = np.arange(len(rows)) % 5 == 4
+    aside = sample["document"].to_numpy(dtype=int) % 5 == 4
     z, n = np.zeros((FEATURES + 1, size)), np.zeros((FEATURES + 1, size))
 
     def weights(at: np.ndarray | slice) -> np.ndarray:

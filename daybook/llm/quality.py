@@ -75,23 +75,24 @@ class QualityModel:
         return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     """Newton's method on standardised columns; the last column is the constant."""
     centre, scale = x.mean(0), x.std(0) + 1e-12
     centre[-1], scale[-1] = 0.0, 1.0
     z, w = (x - centre) / scale, np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -35, 35)))
-        hessian = (z.T * (p * (1 - p))) @ z + ridge * np.eye(len(w))
-        w -= np.linalg.solve(hessian, z.T @ (p - y) + ridge * w)
+        hessian = (z.T * (weight * p * (1 - p))) @ z + ridge * np.eye(len(w))
+        w -= np.linalg.solve(hessian, z.T @ (weight * (p - y)) + ridge * w)
     w = w / scale
     w[-1] -= float(centre[:-1] @ w[:-1])
     return w
 
 
 def fit_quality(sample: pd.DataFrame, shares: dict[int, float] | None = None) -> QualityModel:
-    """Fit on text and quality (0 or 1): even rows build dictionaries, odd ones the curve.
+    """Fit on text and quality (0 or 1): even documents build dictionaries, odd ones the curve.
 
+    Rows from one document, stretches of a long text, share its weight in the curve.
     ``shares`` gives the share of each label over all labelled rows, to undo a
     sample that is alike per label. With one label only, every score is its share.
     """
@@ -101,7 +102,7 @@ def fit_quality(sample: pd.DataFrame, shares: dict[int, float] | None = None) ->
     if not len(labels):
         return QualityModel(None, (0.0, 0.0, 0.0), 0.5)
     prior = shares.get(1, 0.0) if shares else float(labels.mean())
-    even = np.arange(len(sample)) % 2 == 0
+    even = sample["document"].to_numpy(dtype=int) % 2 == 0
     dictionaries = []
     for label in (0, 1):
         texts = sample["text"][(labels == label) & even]
@@ -120,8 +121,9 @@ def fit_quality(sample: pd.DataFrame, shares: dict[int, float] | None = None) ->
     x = np.array([(*model.features(t, compressors), 1.0) for t in curve_rows["text"]])
     y = curve_rows["quality"].to_numpy(dtype=float)
     if 0 < y.sum() < len(y):
-        w = _logistic(x, y)
-        drawn = y.mean()
+        weight = 1 / curve_rows.groupby("document")["text"].transform("size").to_numpy(dtype=float)
+        w = _logistic(x, y, weight)
+        drawn = float(np.average(y, weights=weight))
         w[-1] += np.log(prior / (1 - prior)) - np.log(drawn / (1 - drawn)) if 0 < prior < 1 else 0
         model.curve = tuple(float(v) for v in w)
     return model
@@ -147,11 +149,12 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learnable) -> QualityModel
     marks = labels.where("quality is not null").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("quality")
     )
-    known = docs.select("doc_id", "text").where(learnable).join(marks, "doc_id")
+    texts = docs.select("doc_id", "text", F.length("text").alias("_chars"))
+    known = texts.where(learnable).join(marks, "doc_id")
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     total = sum(counts.values()) or 1
     shares = {label: n / total for label, n in counts.items()}
-    return fit_quality(labelled_sample(known, "quality"), shares)
+    return fit_quality(labelled_sample(known, "quality", length=F.col("_chars")), shares)
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

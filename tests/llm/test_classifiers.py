@@ -2,7 +2,7 @@ import random
 
 from daybook.llm.language import UNKNOWN, learn_language, predict_language
 from daybook.llm.quality import learn_quality, score_quality
-from daybook.llm.sampling import remainder
+from daybook.llm.sampling import labelled_sample, remainder
 
 SOUNDS = {"aa": ("bdg", "aou"), "bb": ("ptk", "ieä"), "cc": ("szj", "yøå")}
 
@@ -74,3 +74,33 @@ def test_quality_of_odd_rows(spark, documents, odd_rows, prose):
     for few in (marks.where("false"), marks.where("quality = 1")):
         plain = learn_quality(documents(rows), few, remainder(3) != 1)
         assert len({r.score for r in score_quality(documents(odd_rows), plain).collect()}) == 1
+
+
+def test_language_that_only_long_texts_carry(documents):
+    rows = rows_of_languages(200)
+    rows = [r for r in rows if r[2] != "cc"] + [(1000 + i, text_in("cc", i, 8_000), "cc", "s") for i in range(12)]
+    assert min(len(r[1]) for r in rows[-12:]) > 20_000
+    tests = documents([(i, text_in(lang, 5000 + i), None, "s") for i, lang in enumerate(sorted(SOUNDS) * 10)])
+    for known in (rows, [(i, text_in(sorted(SOUNDS)[i % 3], i, 8_000), sorted(SOUNDS)[i % 3], "s") for i in range(30)]):
+        found = predict_language(tests, learn_language(documents(known))).collect()
+        right = sum(r.lang_pred == sorted(SOUNDS)[r.doc_id % 3] for r in found)
+        assert right >= 29
+
+
+def test_quality_that_only_long_texts_carry(spark, documents, prose):
+    rows, labels = quality_rows(prose, 200)
+    rows = [(i, t if i % 4 else " ".join([t] * (25_000 // len(t) + 1)), lang, s) for i, t, lang, s in rows]
+    assert all(len(t) > 20_000 for i, t, _, _ in rows if i % 4 == 0)
+    docs, marks = documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = learn_quality(docs, marks, remainder(3) != 1)
+    held = score_quality(docs.where(remainder(3) == 1), model).join(marks, "doc_id").collect()
+    assert sum((r.score >= 0.5) == r.quality for r in held) >= 0.97 * len(held)
+
+
+def test_sample_draws_all_along_a_long_text(documents):
+    long = "".join(chr(97 + i // 10_000) for i in range(100_000))
+    drawn = labelled_sample(documents([(1, long, "aa", "s"), (2, "short", "aa", "s")]), "lang")
+    assert list(drawn["document"]) == [0, 0, 0, 0, 0, 1] and drawn["text"].str.len().max() == 2_000
+    assert [long.index(t[0]) // 20_000 for t in drawn["text"][:5]] == [0, 1, 2, 3, 4]
+    many = documents([(i, long, "aa", "s") for i in range(200)])
+    assert 300_000 < labelled_sample(many, "lang", chars=1_000_000)["text"].str.len().sum() < 2_000_000
