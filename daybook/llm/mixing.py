@@ -56,8 +56,8 @@ def source_targets(
             - F.coalesce(F.sum("most").over(earlier), F.lit(0))
         )
         / F.sum("weight").over(rest),
-    ).withColumn("open", F.col("full_at") > F.col("level"))
-    level = F.min(F.when(F.col("open"), F.struct("full_at", "source", "level"))).over(everything)
+    ).withColumns({"open": F.col("full_at") > F.col("level"), "number": F.row_number().over(by_level)})
+    level = F.min(F.when(F.col("open"), F.struct("number", "level"))).over(everything)
     return levels.withColumn("final", level["level"]).select(
         "source",
         "source_size",

@@ -32,6 +32,15 @@ def test_targets(spark, sizes):
     assert found == pytest.approx(brute_targets(sizes))
 
 
+def test_targets_where_a_null_source_ties(spark):
+    sizes = {"a": 100, "b": 100, "c": 100, None: 100}
+    for given in (sizes, {"a": 100, None: 40, "b": 1, "c": 1}, {"a": 50, "b": 20, "c": 10, None: 50}):
+        df = spark.createDataFrame(list(given.items()), "source string, source_size long")
+        found = {r.source: r.target for r in source_targets(df).collect()}
+        assert found == pytest.approx(brute_targets(given))
+        assert sum(found.values()) == pytest.approx(1.5 * sum(given.values()))
+
+
 def test_odd_rows(documents, odd_rows):
     rows = mix(documents(odd_rows)).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r[0]) for r in odd_rows)
