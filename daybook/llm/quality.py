@@ -10,6 +10,7 @@ labelled text that built neither dictionary.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -89,8 +90,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
+def _halved(sample: pd.DataFrame) -> pd.DataFrame:
+    """The sample with the only document of a label, if so, cut into two documents."""
+    parts = []
+    for _, rows in sample.groupby("quality"):
+        if rows["document"].nunique() == 1:
+            text = "".join(rows["text"])
+            halves = [h for h in (text[: len(text) // 2], text[len(text) // 2 :]) if h]
+            rows = rows.iloc[[0] * len(halves)].assign(text=halves)
+            rows["document"] = [rows["document"].iloc[0] - k / 2 for k in range(len(halves))]
+        parts.append(rows)
+    return pd.concat(parts).sort_values("document", kind="stable", ignore_index=True)
+
+
 def fit_quality(sample: pd.DataFrame, shares: dict[int, float] | None = None) -> QualityModel:
-    """Fit on text and quality (0 or 1): even documents build dictionaries, odd ones the curve.
+    """Fit on text and quality (0 or 1): every other document of a label builds its
+    dictionary, the rest the curve; a label with one document gives half of it to either.
 
     Rows from one document, stretches of a long text, share its weight in the curve.
     ``shares`` gives the share of each label over all labelled rows, to undo a
@@ -98,23 +113,27 @@ def fit_quality(sample: pd.DataFrame, shares: dict[int, float] | None = None) ->
     """
     import zstandard
 
-    labels = sample["quality"].to_numpy(dtype=float)
-    if not len(labels):
+    if not len(sample):
         return QualityModel(None, (0.0, 0.0, 0.0), 0.5)
-    prior = shares.get(1, 0.0) if shares else float(labels.mean())
-    even = sample["document"].to_numpy(dtype=int) % 2 == 0
+    prior = shares.get(1, 0.0) if shares else float(sample["quality"].mean())
+    sample = _halved(sample)
+    labels = sample["quality"].to_numpy(dtype=float)
+    # Documents are numbered within their label, so that either side gets some of it.
+    even = sample.groupby("quality")["document"].rank(method="dense").to_numpy(dtype=int) % 2 == 1
     dictionaries = []
     for label in (0, 1):
         texts = sample["text"][(labels == label) & even]
         blocks = [b for text in texts for b in _blocks(text)]
         blocks = blocks[:: max(1, -(-len(blocks) // TRAINING_BLOCKS))]
-        if len(blocks) < 16:
+        if not blocks:
             return QualityModel(None, (0.0, 0.0, 0.0), prior)
-        try:
-            built = zstandard.train_dictionary(DICTIONARY_BYTES, blocks).as_bytes()
-        except zstandard.ZstdError:  # too little text to choose from: take it as it is
-            built = b"".join(blocks)[-DICTIONARY_BYTES:]
+        built = b"".join(blocks)[-DICTIONARY_BYTES:]
+        if len(blocks) >= 16:
+            with suppress(zstandard.ZstdError):  # too little text to choose from: take it as it is
+                built = zstandard.train_dictionary(DICTIONARY_BYTES, blocks).as_bytes()
         dictionaries.append(built)
+    if sample["quality"][~even].nunique() < 2:
+        return QualityModel(None, (0.0, 0.0, 0.0), prior)
     model = QualityModel(tuple(dictionaries), (0.0, 0.0, 0.0), prior)
     curve_rows = sample[~even]
     compressors = model.compressors()
@@ -162,7 +181,8 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
 
     Takes ``doc_id`` and ``text``; other columns are ignored. A null or empty text
     scores the share of good labels. Rows that repeat are scored one by one; an
-    empty table gives no rows; without labels of both kinds all score alike.
+    empty table gives no rows; without a labelled text of both kinds (of two
+    characters at least if it is the only one) all score alike. A label with fewer than 16 blocks of 1 KB gives them as its dictionary as they are.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_score(model), "doc_id long, score double")

@@ -1,7 +1,9 @@
 import random
 
+import pandas as pd
+
 from daybook.llm.language import UNKNOWN, learn_language, predict_language
-from daybook.llm.quality import learn_quality, score_quality
+from daybook.llm.quality import fit_quality, learn_quality, score_quality
 from daybook.llm.sampling import labelled_sample, remainder
 
 SOUNDS = {"aa": ("bdg", "aou"), "bb": ("ptk", "ieä"), "cc": ("szj", "yøå")}
@@ -104,3 +106,16 @@ def test_sample_draws_all_along_a_long_text(documents):
     assert [long.index(t[0]) // 20_000 for t in drawn["text"][:5]] == [0, 1, 2, 3, 4]
     many = documents([(i, long, "aa", "s") for i in range(200)])
     assert 300_000 < labelled_sample(many, "lang", chars=1_000_000)["text"].str.len().sum() < 2_000_000
+
+
+def test_quality_of_a_few_labelled_texts(prose):
+    good = [prose(i, 120) for i in range(60)]
+    bad = [" | ".join(prose(i, 60).upper().split(" ")) + " !!! $$$" for i in range(60)]
+    for few in (1, 2, 5):
+        for texts in ([(t, 1) for t in good[:40]] + [(t, 0) for t in bad[:few]], [("ab", 1), ("cd", 0)]):
+            sample = pd.DataFrame(texts, columns=["text", "quality"]).assign(document=range(len(texts)))
+            model = fit_quality(sample)
+            assert model.dictionaries is not None
+            if len(texts) > 2:
+                high, low = (model.scores(t[40:], model.compressors()) for t in (good, bad))
+                assert low.max() < high.min()
