@@ -37,17 +37,11 @@ BACKFILL_TASKS = 8
 DAY, MONTH = in_day(DAILY), in_month(MONTHLY)
 
 
-_DAYS: dict[tuple, str] = {}
-
-
 def all_days(t: SampleTables):
-    """The orders of all days, partitioned by day as in the warehouse; loaded once a session."""
-    key = (t.spark.sparkContext.applicationId, t.root)
-    if key not in _DAYS:
-        database = create_scratch_database(t.spark)
-        ingest.load_orders_partitions(t.spark, t.orders(), database, BACKFILL_TASKS)
-        _DAYS[key] = qualified(database, "orders")
-    return t.spark.table(_DAYS[key])
+    """The orders of all days, loaded into a table partitioned by day as in the warehouse."""
+    database = create_scratch_database(t.spark)
+    ingest.load_orders_partitions(t.spark, t.orders(), database, BACKFILL_TASKS)
+    return t.spark.table(qualified(database, "orders"))
 
 
 def day_orders(t: SampleTables):

@@ -42,6 +42,11 @@ def test_period_filters_are_checked(spark, con, monkeypatch, name):
     assert mismatch(QUERIES[name](spark, SAMPLES), con, ORACLE[name]) is not None
 
 
+def test_each_query_loads_the_orders_itself(spark):
+    first, again = (QUERIES["scan_orders_day"](spark, SAMPLES).inputFiles() for _ in range(2))
+    assert first and set(first).isdisjoint(again)
+
+
 def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["department_id", "department_name", "total_sales", "txn_date"]
