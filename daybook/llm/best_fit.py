@@ -257,6 +257,8 @@ def pack(
 ) -> DataFrame:
     """Place every document into sequences of at most ``capacity`` ids, as few as it can.
 
+    Documents are tokenized once; the pieces are packed by ``pack_pieces``.
+
     Takes ``doc_id`` and ``text``; other columns are ignored. A null or empty text
     has the closing id only. Rows that repeat are packed one by one, and many equal
     rows are dealt out like others. An empty table gives no rows. A text longer than a
@@ -264,10 +266,16 @@ def pack(
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id and offset, with
     ``certified``: whether the lot that the piece was last packed in reached its lower
-    bound. Documents are tokenized once; after that, rows of 44 bytes move, and in each
-    exchange only those of sequences with a gap.
+    bound.
+    """
+    return pack_pieces(stored(token_pieces(docs, vocabulary, capacity)), capacity, lot)
+
+
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, lot: int = LOT) -> DataFrame:
+    """Place pieces of known length; ``row`` numbers them.
+
+    Rows of 44 bytes move, and in each exchange only those of sequences with a gap.
     """
-    pieces = stored(token_pieces(docs, vocabulary, capacity))
     # At most one row per length.
     histogram = np.zeros(capacity + 1, np.int64)
     for length, count in pieces.groupBy("length").count().collect():

@@ -20,19 +20,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, release: bool = True) -> DataFrame:
     """Write a frame to the shared folder and read it from there.
 
     Later steps then neither repeat the work nor depend on any one executor.
     The files stay until whoever owns the shared folder clears it. What the step
     shuffled is needed no more; Spark removes shuffle files once the driver's JVM
-    has let go of their plan, so it is asked to look for garbage.
+    has let go of their plan, so it is asked to look for garbage; small steps
+    switch that off by ``release``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    gc.collect()
-    spark._jvm.System.gc()
+    if release:
+        gc.collect()
+        spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -170,7 +170,7 @@ def _exchange(nodes: DataFrame, fanout: int, rounds: int) -> DataFrame:
             F.concat("proof", F.array(step)).alias("proof"),
         )
         still = nodes.where(F.col("blocks") <= low).select(joined.columns)
-        nodes = stored(joined.unionByName(still))
+        nodes = stored(joined.unionByName(still), release=False)
     return nodes
 
 
@@ -217,15 +217,17 @@ def manifest(
     runs = stored(
         ranged.groupBy("lang", task.alias("task"))
         .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
-        .withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+        .withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))),
+        release=False,
     )
     trees = _numbered_trees(runs)
     placed_runs = stored(
         runs.join(trees, runs.lang.eqNullSafe(trees.tree_lang)).select(
             F.col("lang").alias("run_lang"), F.col("task").alias("run_task"),
             "first", "before", "tree", "leaves",
-        )
-    )
+        ),
+        release=False,
+    )
     block_size = fanout**BLOCK_LEVELS
     placed = stored(
         ranged.join(
@@ -254,7 +256,7 @@ def manifest(
     )
     languages = trees.count()
     tops = _exchange(
-        stored(subroots.withColumn("blocks", F.lit(languages).cast("long"))),
+        subroots.withColumn("blocks", F.lit(languages).cast("long")),
         fanout,
         levels_above(languages, fanout),
     ).select(
@@ -300,5 +302,6 @@ def _numbered_trees(runs: DataFrame) -> DataFrame:
     return stored(
         first.withColumn("inside", inside - 1)
         .join(starts, F.col("task") == F.col("start_task"))
-        .select("tree_lang", (F.col("earlier") + F.col("inside")).alias("tree"), "leaves")
+        .select("tree_lang", (F.col("earlier") + F.col("inside")).alias("tree"), "leaves"),
+        release=False,
     )

@@ -324,7 +324,7 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), first_wave: int = FIRS
     # How often each word goes on, and is come to, at most.
     ahead = pairs.groupBy("lang", _words(1, 1).alias("phrase")).agg(F.max("n").alias("n"))
     behind = pairs.groupBy("lang", _words(2, 2).alias("phrase")).agg(F.max("n").alias("n"))
-    ends = stored(ahead), stored(behind)
+    ends = stored(ahead, release=False), stored(behind, release=False)
     none = spark.createDataFrame([], COUNTS)
     tables = {1: words, 2: pairs, 3: none, 4: none}
     nodes2 = stored(_described(pairs, 2, tables, ends, rules))
@@ -337,13 +337,15 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), first_wave: int = FIRS
         state = stored(
             _state(nodes2, 2, tables[3], grown, rules)
             .unionByName(_state(nodes3, 3, tables[4], grown, rules))
-            .unionByName(_state(nodes4, 4, None, grown, rules))
+            .unionByName(_state(nodes4, 4, None, grown, rules)),
+            release=False,
         )
         settled = state.where("NOT open AND NOT replaced")
         # Each task hands on its best ``top`` rows of a language only.
         place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("n"), "phrase")
         best = stored(
-            settled.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= rules.top)
+            settled.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= rules.top),
+            release=False,
         )
         last = best.where(F.col("rank") == rules.top).select("lang", F.col("score").alias("last"))
         wave = _best(_frontier(state), last, take)
@@ -354,9 +356,9 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), first_wave: int = FIRS
         sent.destroy()
         for size in (3, 4):
             both = tables[size].unionByName(counts.where(F.col("size") == size))
-            tables[size] = stored(both.dropDuplicates(_KEY))
+            tables[size] = stored(both.dropDuplicates(_KEY), release=False)
         now = [(w.lang, w.size, w.phrase) for w in wave if not w.asked]
-        grown = stored(grown.unionByName(spark.createDataFrame(now, grown.schema)))
+        grown = stored(grown.unionByName(spark.createDataFrame(now, grown.schema)), release=False)
         take *= MORE
 
     return best.join(F.broadcast(totals) if _few(totals) else totals, "lang").select(

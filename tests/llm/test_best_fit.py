@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -62,18 +63,26 @@ def test_as_few_as_one_task_would_take(tokenizer, documents, prose):
     assert used <= least + 1
 
 
-def test_exchange_saves_what_small_lots_waste(tokenizer, documents, prose, monkeypatch):
-    rows = [(i, prose(i, 5 + 37 * i % 400), "aa", "s") for i in range(600)]
-    turns, packed = [], best_fit._counted
-
-    def counted(placed):
-        turns.append(packed(placed))
-        return turns[-1]
-
-    monkeypatch.setattr(best_fit, "_counted", counted)
-    used, least = check(tokenizer, rows, pack(documents(rows), lot=150).collect())
-    assert len(turns) > 1 and turns[1][0] < turns[0][1]
-    assert least <= used <= least + 3
+def test_exchange_saves_what_small_lots_waste(spark, monkeypatch):
+    """Lots of a few dozen pieces lack the partners that other lots have too many of."""
+    rng = random.Random(8)
+    lengths = [rng.choice([600, 424, 700, 324, 512, 300, 212]) for _ in range(2000)]
+    pieces = spark.createDataFrame(
+        [(i, i % 700, 0, 0, n, i) for i, n in enumerate(lengths)], best_fit.PIECES
+    ).repartition(4)
+    turns, counted = [], best_fit._counted
+    monkeypatch.setattr(best_fit, "_counted", lambda x: turns.append(counted(x)) or turns[-1])
+    found = best_fit.pack_pieces(pieces, lot=60).collect()
+    assert sorted((r.ids_crc32, r.length) for r in found) == list(enumerate(lengths))
+    held = defaultdict(list)
+    for r in found:
+        held[r.sequence_id].append((r.offset, r.length))
+    for places in held.values():
+        places.sort()
+        ends = [a + n for a, n in places]
+        assert [a for a, _ in places] == [0, *ends[:-1]] and ends[-1] <= 1024
+    least = lower_bound(np.bincount(lengths, minlength=1025), 1024)[0]
+    assert len(turns) > 2 and least <= len(held) < turns[0][0]
 
 
 def test_many_equal_rows_are_dealt_out(tokenizer, documents):

@@ -61,15 +61,14 @@ def chatter(seed, words, texts, langs=("aa", "bb", None)):
 WORDS = ["the", "The", "of", "new", "york", "é", "É", "stock-1", "中文", "a", "b", "c", "d", "e", "f", "g"]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_same_as_brute_force(documents, seed):
-    rows, rules = chatter(seed, WORDS, 60), Rules(least=5, top=2000)
+def test_same_as_brute_force(documents):
+    rows, rules = chatter(1, WORDS, 60), Rules(least=5, top=2000)
     want = brute_force(rows, rules)
     assert len(want) > 100 and {len(r[2].split()) for r in want} == {2, 3, 4}
     assert rows_of(collocations(documents(rows), rules)) == want
 
 
-@pytest.mark.parametrize("top, first", [(1, 1), (7, 3), (25, 10)])
+@pytest.mark.parametrize("top, first", [(1, 5), (20, 40)])
 def test_stops_at_the_last_place_with_ties(documents, top, first):
     """Few places and small waves: languages end with most of the frontier never grown."""
     rows, rules = chatter(5, WORDS, 60), Rules(least=4, top=top)
@@ -86,15 +85,10 @@ def test_frontier_is_not_grown_further_than_needed(documents, monkeypatch):
     assert "of a" not in grown and "left right" not in grown
 
 
-def test_without_a_broadcast_vocabulary(documents, monkeypatch):
+def test_without_a_vocabulary_and_with_counts_handed_on(documents, monkeypatch):
     monkeypatch.setattr(phrases, "BROADCAST_ROWS", 3)
-    rows, rules = chatter(3, WORDS, 40), Rules(least=5, top=50)
-    assert rows_of(collocations(documents(rows), rules)) == brute_force(rows, rules)
-
-
-def test_tasks_hand_their_counts_on(documents, monkeypatch):
     monkeypatch.setattr(phrases, "HELD", 1)
-    rows, rules = chatter(4, WORDS, 30), Rules(least=5, top=50)
+    rows, rules = chatter(3, WORDS, 40), Rules(least=5, top=50)
     assert rows_of(collocations(documents(rows), rules)) == brute_force(rows, rules)
 
 
