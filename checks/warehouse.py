@@ -20,8 +20,8 @@ from daybook.plans import jobs, reports
 from daybook.schemas import REPORT_TABLES
 from daybook.session import create_scratch_database, shared_dir
 from daybook.sinks import tables
-from daybook.sources import ingest
-from daybook.sources.readers import FrameReader
+from daybook.sources import appended, ingest
+from daybook.sources.readers import FrameReader, RangeReader, SourceFilter, Split
 from daybook.sources.samples import SampleTables
 
 DAILY_REPORTS = [name for name in REPORT_TABLES if name != "top_customers_month"]
@@ -109,14 +109,19 @@ def import_incremental_append(t):
     ingest.incremental_append(t.spark, now, database)
     ingest.incremental_append(t.spark, now, database)  # nothing new
     last = ingest.saved_watermark(t.spark, database, "order_items")
-    rows = t.spark.table(tables.qualified(database, "order_items"))
+    rows = appended.imported(t.spark, database)
     return rows.withColumn("last_value", F.lit(last).cast("bigint"))
 
 
 @query("import_partitioned_read", statement(f"SELECT order_id, order_status FROM ({DAY_ORDERS})"))
 def import_partitioned_read(t):
-    rows = ingest.read_orders_day(t.reader(), DAILY.txn_date, tasks=2)
-    return rows.select("order_id", "order_status")
+    """Fails if the split does not give two tasks, each with nearly half of the rows."""
+    source = RangeReader(t.reader().frames)
+    day = SourceFilter.equals("order_date", DAILY.txn_date)
+    shares = [part.count() for part in source.parts("orders", day, Split("order_id", 2))]
+    if len(shares) != 2 or max(shares) - min(shares) > 0.05 * sum(shares) + 1:
+        raise ValueError(f"tasks of the split read have {shares} rows")
+    return ingest.read_orders_day(source, DAILY.txn_date, tasks=2).select("order_id", "order_status")
 
 
 @query(
@@ -148,7 +153,7 @@ def import_reset_reload(t):
     ingest.incremental_append(t.spark, _wide_reader(t), database)
     ingest.reset_incremental(t.spark, database)
     ingest.incremental_append(t.spark, _wide_reader(t), database)
-    return t.spark.table(tables.qualified(database, "order_items"))
+    return appended.imported(t.spark, database)
 
 
 @query(

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Columns the reports need; the rest of the fact is read by nobody.
@@ -88,8 +89,36 @@ def compact_sales_fact(
     ).select(*REPORT_COLUMNS)
 
 
+@dataclass(frozen=True)
+class JoinAudit:
+    """Counts of the rows that come out of each inner join of a pass, made on the way.
+
+    What a lookup loses is the count before it minus the count after. An executor lost
+    on the way can make a count too large, never too small. The counts are there once
+    the frame has been written and has rows.
+    """
+
+    sold: Observation = field(default_factory=Observation)
+    with_product: Observation = field(default_factory=Observation)
+    with_category: Observation = field(default_factory=Observation)
+
+    def rows(self) -> dict[str, int]:
+        return {name: getattr(self, name).get["rows"] for name in self.__dataclass_fields__}
+
+
+NO_AUDIT = JoinAudit(None, None, None)
+
+
+def _counted(df: DataFrame, observation: Observation | None) -> DataFrame:
+    return df if observation is None else df.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+
 def day_totals(
-    orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
+    orders: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    categories: DataFrame,
+    audit: JoinAudit | None = None,
 ) -> DataFrame:
     """The fact summed twice in one pass: per product and per customer.
 
@@ -98,8 +127,14 @@ def day_totals(
     there are. The grouping does not follow the partitioning of any join before it,
     so adaptive execution is free to split a hot order or product there.
     """
-    sold = join_items(join_orders(items, orders), products).join(
-        categories, F.col("product_category_id") == F.col("category_id"), "inner"
+    seen = audit or NO_AUDIT
+    sold = _counted(join_orders(items, orders), seen.sold)
+    with_product = _counted(join_items(sold, products), seen.with_product)
+    sold = _counted(
+        with_product.join(
+            categories, F.col("product_category_id") == F.col("category_id"), "inner"
+        ),
+        seen.with_category,
     )
     product = ["product_id", "category_id", "category_name", "category_department_id"]
     rows = sold.select(
@@ -148,6 +183,20 @@ def customer_sales_fact(
     )
 
 
+def customer_day_sums(
+    orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """The fact summed to one row per day and customer: customer_id, order_item_subtotal, dt."""
+    sold = join_items(join_orders(items, orders), products).join(
+        categories, F.col("product_category_id") == F.col("category_id"), "inner"
+    )
+    return (
+        sold.groupBy("dt", F.col("order_customer_id").alias("customer_id"))
+        .agg(F.sum("order_item_subtotal").alias("order_item_subtotal"))
+        .select("customer_id", "order_item_subtotal", "dt")
+    )
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame in executor memory, spilling to disk, while several reports read it.

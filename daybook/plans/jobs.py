@@ -12,12 +12,15 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.context import RunContext
-from daybook.operators.facts import customer_sales_fact, day_totals, per_customer, per_product
-from daybook.operators.scans import items_in_order_range, orders_for_day, orders_for_month
+from daybook.operators.facts import JoinAudit, day_totals, per_customer, per_product
+from daybook.operators.scans import in_order_range, order_bounds, orders_for_day
 from daybook.plans import reports
+from daybook.plans.kept import keep_day, month_customer_sums
 from daybook.schemas import REPORT_TABLES, SNAPSHOT_KEYS
 from daybook.session import create_scratch_database, drop_scratch_database, shared_dir
+from daybook.sinks.kept import KeptDay
 from daybook.sinks.tables import database_exists, ensure_database, qualified, replace_report
+from daybook.sources.appended import band_width, committed_rows, compact, last_commit
 from daybook.sources.ingest import import_orders_day, incremental_append, snapshot_import
 from daybook.sources.readers import Reader, RebasingReader
 
@@ -83,6 +86,7 @@ def run_daily(spark: SparkSession, config: JobConfig, run_date: date) -> dict[st
     shared_dir(spark)  # fails before anything is read
     ctx = RunContext(run_date, config.lag_days)
     _import(spark, config, ctx, "overwrite")
+    compact(spark, config.database)
     return run_reports(spark, config, run_date)
 
 
@@ -122,7 +126,8 @@ def _report_steps(
 ) -> Iterator[Step]:
     """Writes of the reports due; the monthly one only on the first of a month.
 
-    Those that do not need the fact of the day come first and run while it is built.
+    The one that does not need the fact of the day comes first and runs while it is
+    built. The day's sums are kept for the monthly report.
     """
     periods = {"txn_date": ctx.txn_date, "txn_month": ctx.txn_month}
 
@@ -133,28 +138,22 @@ def _report_steps(
         period = periods[REPORT_TABLES[name].period_column]
         return name, lambda: replace_report(build(*inputs, ctx), database, name, period)
 
-    orders, items, products = table("orders"), table("order_items"), table("products")
+    orders, products = table("orders"), table("products")
+    mark = last_commit(spark, database, "order_items").last_value
+    items = committed_rows(spark, database, "order_items")
+    width = band_width(spark, database, "order_items")
     categories, departments, customers = (
         table("categories"), table("departments"), table("customers")
     )
 
-    if ctx.is_month_start:
-
-        def top_customers_month(*_) -> DataFrame:
-            sales = orders_for_month(orders, ctx)
-            month_items = items_in_order_range(items, sales)
-            fact = customer_sales_fact(sales, month_items, products, categories)
-            return reports.top_customers_month(fact, customers, ctx)
-
-        yield step("top_customers_month", top_customers_month)
-
     every_order = orders_for_day(orders, ctx.txn_date, all_statuses=True)
     yield step("order_status", reports.order_status, every_order)
 
-    sales = orders_for_day(orders, ctx.txn_date)
+    sales, audit = orders_for_day(orders, ctx.txn_date), JoinAudit()
+    low, high = order_bounds(sales)
+    sold = in_order_range(items, low, high, width)
     totals = _store(
-        day_totals(sales, items_in_order_range(items, sales), products, categories),
-        qualified(scratch, "day_totals"),
+        day_totals(sales, sold, products, categories, audit), qualified(scratch, "day_totals")
     )
     fact, spent = per_product(totals), per_customer(totals)
     yield step("category_sales", reports.category_sales, fact, departments)
@@ -163,6 +162,18 @@ def _report_steps(
     yield step("top_products_amount", reports.top_products_amount, fact, products)
     yield step("top_customers_day", reports.top_customers_day, spent, customers)
 
+    # While those are written, the day is kept; the month may end with it.
+    # Spark skips the joins, and with them the counts, where it finds an input empty.
+    counted = {} if totals.isEmpty() else audit.rows()
+    keep_day(spark, database, KeptDay(ctx.txn_date, mark, low, high, **counted), totals)
+    if ctx.is_month_start:
+
+        def top_customers_month(*_) -> DataFrame:
+            fact = month_customer_sums(spark, database, ctx)
+            return reports.top_customers_month(fact, customers, ctx)
+
+        yield step("top_customers_month", top_customers_month)
+
 
 def _store(df: DataFrame, table: str) -> DataFrame:
     """Write a frame once to shared storage and read it from there.

@@ -46,6 +46,15 @@ MODEL = {
     ),
 }
 
+# Directory columns of an append-only table: the append, and the band of order ids.
+BATCH, BAND = "import_batch", "order_band"
+
+
+def band_of(order_id: int, width: int) -> int:
+    """The band of an order id; as SQL's ``div``: towards zero, also below it."""
+    return order_id // width if order_id >= 0 else -(-order_id // width)
+
+
 # Tables replaced as a whole at every import, with the key the
 # parallel source read is split on.
 SNAPSHOT_KEYS = {

@@ -88,49 +88,102 @@ def replace_report(df: DataFrame, database: str, report: str, value: str) -> int
     return replace_period(df, table, layout.period_column, value)
 
 
-def append_rows(df: DataFrame, table: str) -> None:
-    """Add rows by column name; columns that the table lacks are added to it first."""
+def add_missing_columns(df: DataFrame, table: str, but: tuple[str, ...] = ()) -> DataFrame:
+    """Add columns that the table lacks to it, and those that ``df`` lacks to ``df`` as nulls."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
-        known = set(spark.table(table).columns)
-        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in known]
-        if new:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
-        missing = [f for f in spark.table(table).schema if f.name not in df.columns]
-        empty = {f.name: F.lit(None).cast(f.dataType) for f in missing}
-        df = df.withColumns(empty) if empty else df
-    df.write.format("parquet").mode("append").saveAsTable(table)
+    known = set(spark.table(table).columns)
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+    missing = [f for f in spark.table(table).schema if f.name not in (*df.columns, *but)]
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in missing}
+    return df.withColumns(empty) if empty else df
+
+
+def partition_values(spark: SparkSession, table: str) -> list[dict[str, str | None]]:
+    """Values of the partition columns of every directory, from the catalog alone."""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        pairs = [part.split("=", 1) for part in row[0].split("/")]
+        found.append(
+            {name: None if value == "__HIVE_DEFAULT_PARTITION__" else value for name, value in pairs}
+        )
+    return found
+
+
+def drop_partitions(spark: SparkSession, table: str, which: list[dict[str, str | None]]) -> None:
+    """Drop directories by the values of all their partition columns."""
+    for at in range(0, len(which), 500):
+        specs = [
+            ", ".join(f"`{k}` = {'NULL' if v is None else repr(v)}" for k, v in spec.items())
+            for spec in which[at : at + 500]
+        ]
+        listed = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+
+
+def table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    """One property of a table or view; None if that, or the table, is absent."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return next((row["value"] for row in rows if row["key"] == name), None)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").collect()
+    return next(row["data_type"] for row in rows if row["col_name"] == "Location").rstrip("/")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_VERSION, _BEFORE = "daybook.version", "daybook.version_before"
 
 
 def publish_version(df: DataFrame, database: str, table: str) -> None:
-    """Write a whole table into a new version folder and switch the table to it.
+    """Write a whole table into a new version folder and switch its name to it.
 
-    The switch changes the catalog only. If the columns have changed, the table is
-    declared anew over the finished folder, which is a catalog change as well.
+    The name is a view over one version, and replacing the view is one change in the
+    catalog, whether or not the columns differ: readers find the old version or the new
+    one, never none. The view tells its version and the one before; those two stay, for
+    readers still at work, and what any other run left is removed. A write that fails
+    removes its own folder and leaves the view alone.
     """
     spark, name = df.sparkSession, qualified(database, table)
     root = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}_versions"
-    version = f"{root}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(version)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    declare = f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{version}'"
-    if not spark.catalog.tableExists(name):
-        spark.sql(declare)
-    elif [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-    else:
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(declare)
-    spark.catalog.refreshTable(name)
-    _remove_old_versions(spark, root, keep=2)
-
-
-def _remove_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    version = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    try:
+        df.write.parquet(f"{root}/{version}")
+    except Exception:
+        remove_folder(spark, f"{root}/{version}")
+        raise
+    live = table_property(spark, name, _VERSION)
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION}' = '{version}', "
+        f"'{_BEFORE}' = '{live or ''}') AS SELECT {columns} FROM parquet.`{root}/{version}`"
+    )
+    _remove_versions(spark, root, keep={version, live})
+
+
+def version_before(spark: SparkSession, database: str, table: str) -> DataFrame | None:
+    """The rows that the last import of a snapshot replaced, or None."""
+    before = table_property(spark, qualified(database, table), _BEFORE)
+    if not before:
+        return None
+    folder = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    return spark.read.parquet(f"{folder}/{table}_versions/{before}")
+
+
+def _remove_versions(spark: SparkSession, root: str, keep: set[str | None]) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = sorted(entry.getPath().getName() for entry in files.listStatus(path))
-    for old in versions[:-keep]:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, old), True)
+    for entry in files.listStatus(path):
+        if entry.getPath().getName() not in keep:
+            files.delete(entry.getPath(), True)
 
 
 def truncate(spark: SparkSession, table: str) -> None:

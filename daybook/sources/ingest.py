@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from daybook.functions.casts import cast_known, cast_to_sink
 from daybook.functions.periods import with_partition_day
-from daybook.operators.scans import newer_than, select_orders_layout
+from daybook.operators.metrics import new_watermark
+from daybook.operators.scans import select_orders_layout
 from daybook.schemas import MODEL, SNAPSHOT_KEYS
+from daybook.sinks.kept import forget_days
 from daybook.sinks.tables import (
-    append_rows,
     ensure_orders_table,
-    ensure_partitioned_table,
     insert_partitions,
     publish_version,
     qualified,
     truncate,
 )
+from daybook.sources import appended
 from daybook.sources.readers import Reader, SourceFilter, Split
 
-STATE_TABLE = "import_state"
-_STATE_COLUMNS = T.StructType([T.StructField("last_value", T.LongType())])
 
 class TableExistsError(ValueError):
     """A snapshot in mode ``create`` found its table; mode ``overwrite`` replaces it."""
@@ -38,8 +36,8 @@ def snapshot_import(
 ) -> None:
     """Copy a whole source table; importing twice gives the same table as importing once.
 
-    Every import writes a version folder of its own and then points the table at
-    it, so a source or a write that fails half-way leaves the last snapshot in
+    Every import writes a version folder of its own and then points the table's name
+    at it, so a source or a write that fails half-way leaves the last snapshot in
     place, and nothing is copied twice. Readers that are still at work find the
     version before; older ones are removed.
     """
@@ -64,19 +62,27 @@ def import_orders_day(
     spark: SparkSession, reader: Reader, database: str, day: str, tasks: int = 2
 ) -> None:
     """Load one day of orders; a day without rows keeps what was loaded before."""
-    load_orders_partitions(spark, read_orders_day(reader, day, tasks), database)
+    load_orders_partitions(spark, read_orders_day(reader, day, tasks), database, days=[day])
 
 
 def load_orders_partitions(
-    spark: SparkSession, staged: DataFrame, database: str, backfill_tasks: int | None = None
+    spark: SparkSession,
+    staged: DataFrame,
+    database: str,
+    backfill_tasks: int | None = None,
+    days: list[str] | None = None,
 ) -> None:
     """Replace the ``dt`` partitions that occur in ``staged``, and no others.
 
+    Sums that were kept of ``days`` count no more; where it is not said which days
+    occur, none do.
+
     One day needs no redistribution. A back-fill of many days is first split into
     ``backfill_tasks`` equal ranges of (day, order id): a task then writes few
     days, and a day with very many rows is shared by several tasks.
     """
     table = ensure_orders_table(spark, database)
+    forget_days(spark, database, days)
     rows = cast_to_sink(select_orders_layout(staged), MODEL["orders"])
     if backfill_tasks is not None:
         rows = rows.repartitionByRange(backfill_tasks, "dt", "order_id")
@@ -85,19 +91,12 @@ def load_orders_partitions(
 
 def saved_watermark(spark: SparkSession, database: str, table: str) -> int:
     """Last imported value of a table's check column; 0 before the first import."""
-    state = qualified(database, STATE_TABLE)
-    ensure_partitioned_table(spark, state, _STATE_COLUMNS, "table_name")
-    row = spark.table(state).where(F.col("table_name") == table).select("last_value").first()
-    return 0 if row is None else row["last_value"]
+    return appended.last_commit(spark, database, table).last_value
 
 
 def save_watermark(spark: SparkSession, database: str, table: str, last_value: int) -> None:
-    state = qualified(database, STATE_TABLE)
-    ensure_partitioned_table(spark, state, _STATE_COLUMNS, "table_name")
-    row = spark.range(0, 1, 1, 1).select(
-        F.lit(last_value).cast("bigint").alias("last_value"), F.lit(table).alias("table_name")
-    )
-    insert_partitions(row, state, ["last_value", "table_name"])
+    """Set the mark and declare that no batch of the table counts."""
+    appended.commit(spark, database, table, appended.Commit(last_value))
 
 
 def incremental_append(
@@ -108,49 +107,40 @@ def incremental_append(
     check_column: str = "order_item_id",
     cluster_by: str | None = "order_item_order_id",
     tasks: int | None = None,
+    band_width: int = appended.ORDER_BAND,
 ) -> int:
     """Append the rows beyond the saved high-water mark and save the new one.
 
-    The mark is written last. If a run stops between the two commits, the next
-    one finds rows beyond the mark in the target and leaves those out, whether
-    the append had finished or not; this relies on the check column being
-    unique. Parquet statistics keep that look-up away from older rows.
+    The rows become a batch of their own, and one commit writes the mark and makes the
+    batch count. If a run stops before that, nothing of it is seen, and the next run
+    removes what had landed and reads from the old mark again; the check column need
+    not be unique for that.
 
     Every column of the source is kept, also those the reports do not use; one
-    that the source gained later is added to the target. Rows are sorted by
-    ``cluster_by`` inside each task, without a shuffle, so that later reads can
-    skip row groups by that column. Returns the mark.
+    that the source gained later is added to the target. Rows lie in directories by
+    bands of ``cluster_by`` and are sorted by it inside each task, without a shuffle.
+    Read the rows through ``appended.imported``. Returns the mark.
     """
-    target = qualified(database, table)
-    last = saved_watermark(spark, database, table)
+    state, batch = appended.begin(spark, database, table)
+    last = state.last_value
     split = Split(check_column, tasks) if tasks else None
-    batch = reader.read(table, SourceFilter.greater(check_column, last), split)
-    batch = cast_known(batch, MODEL[table]) if table in MODEL else batch
-
-    recovered = None
-    if spark.catalog.tableExists(target):
-        landed = spark.table(target).where(newer_than(check_column, last)).select(check_column)
-        recovered = landed.agg(F.max(check_column)).first()[0]
-        if recovered is not None:
-            batch = batch.join(landed, check_column, "left_anti").select(batch.columns)
-
-    appended = Observation()
-    rows = batch.observe(appended, F.max(check_column).alias("newest"))
-    if cluster_by is not None:
-        rows = rows.sortWithinPartitions(cluster_by)
-    append_rows(rows, target)
+    rows = reader.read(table, SourceFilter.greater(check_column, last), split)
+    rows = cast_known(rows, MODEL[table]) if table in MODEL else rows
+    appended.write_batch(rows, database, table, batch, cluster_by, band_width)
 
-    marks = [m for m in (last, recovered, appended.get["newest"]) if m is not None]
-    if max(marks) > last:
-        save_watermark(spark, database, table, max(marks))
-    return max(marks)
+    written = spark.table(qualified(database, table)).where(F.col(appended.BATCH) == batch)
+    mark = new_watermark(written, check_column).first()["last_value"]
+    mark = last if mark is None else mark
+    appended.commit(spark, database, table, appended.Commit(mark, batch))
+    return mark
 
 
 def reset_incremental(spark: SparkSession, database: str, table: str = "order_items") -> None:
     """Empty the target and forget its high-water mark, so the next run loads everything.
 
-    The mark goes first: a stop in between leaves rows beyond the mark, which the
-    next import recognises.
+    The mark goes first, and with it every batch stops counting: a stop in between
+    leaves rows that nobody sees. The rows themselves go by their directories.
     """
     save_watermark(spark, database, table, 0)
+    forget_days(spark, database)
     truncate(spark, qualified(database, table))

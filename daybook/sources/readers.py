@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.rebase import rebase_order_dates, source_days
+from daybook.sources.splits import Range, balanced_ranges
 
 Value = int | str | date
 
@@ -57,7 +59,7 @@ class SourceFilter:
 
 @dataclass(frozen=True)
 class Split:
-    """Read in ``tasks`` parallel ranges of ``column``."""
+    """Read in ``tasks`` parallel ranges of ``column`` with about equally many rows."""
 
     column: str
     tasks: int = 2
@@ -74,7 +76,7 @@ class FrameReader:
     """Source tables that are already DataFrames: files, catalog tables, views.
 
     Spark splits such sources into tasks itself, by their size, so a requested
-    split is not needed.
+    split is not needed; ``RangeReader`` applies it.
     """
 
     frames: dict[str, DataFrame]
@@ -86,6 +88,45 @@ class FrameReader:
         return df if where is None else df.where(where.condition())
 
 
+@dataclass(frozen=True)
+class RangeReader:
+    """DataFrame sources read as the ranges of a split, one filtered scan per range.
+
+    For sources that take a filter but give a single task by themselves. The ranges
+    come from the same counts as those of a database, made here by Spark.
+    """
+
+    frames: dict[str, DataFrame]
+
+    def read(
+        self, table: str, where: SourceFilter | None = None, split: Split | None = None
+    ) -> DataFrame:
+        return reduce(DataFrame.unionAll, self.parts(table, where, split))
+
+    def parts(
+        self, table: str, where: SourceFilter | None = None, split: Split | None = None
+    ) -> list[DataFrame]:
+        """The rows of each range by themselves."""
+        df = FrameReader(self.frames).read(table, where)
+        if split is None:
+            return [df]
+        return [df.where(r.sql(f"`{split.column}`")) for r in self.ranges(df, split)]
+
+    @staticmethod
+    def ranges(df: DataFrame, split: Split) -> list[Range]:
+        column = F.col(split.column)
+        low, high = df.agg(F.min(column), F.max(column)).first()
+        if low is None:
+            return [Range(None, None)]
+
+        def count_buckets(first: int, width: int, buckets: int) -> list[tuple[int, int]]:
+            inside = df.where(Range(first, first + width * buckets).sql(f"`{split.column}`"))
+            number = F.floor((column - F.lit(first)) / F.lit(width)).alias("bucket")
+            return [tuple(row) for row in inside.groupBy(number).count().collect()]
+
+        return balanced_ranges(low, high, split.tasks, count_buckets)
+
+
 def parquet_reader(spark: SparkSession, root: str, tables: list[str]) -> FrameReader:
     """Source tables stored as ``<root>/<table>.parquet``."""
     return FrameReader({t: spark.read.parquet(f"{root}/{t}.parquet") for t in tables})
@@ -122,20 +163,37 @@ class JdbcReader:
         query = f"SELECT MIN({quoted}) AS low, MAX({quoted}) AS high FROM {table}{condition}"
         return tuple(self._load(f"({query}) bounds").first())
 
+    def _ranges(self, table: str, where: SourceFilter | None, split: Split) -> list[Range]:
+        """Ranges of the split column with equal numbers of rows, counted by the database."""
+        low, high = self._bounds(table, where, split.column)
+        if low is None:
+            return [Range(None, None)]
+        column = f"{self._quote}{split.column}{self._quote}"
+        also = f" AND {where.sql(self._quote)}" if where else ""
+
+        def count_buckets(first: int, width: int, buckets: int) -> list[tuple[int, int]]:
+            number = f"FLOOR(({column} - {first}) / {width})"
+            query = (
+                f"SELECT bucket, COUNT(*) AS n FROM (SELECT {number} AS bucket FROM {table} WHERE "
+                f"{Range(first, first + width * buckets).sql(column)}{also}) numbered GROUP BY bucket"
+            )
+            return [(int(row[0]), int(row[1])) for row in self._load(f"({query}) counted").collect()]
+
+        return balanced_ranges(int(low), int(high), split.tasks, count_buckets)
+
     def read(
         self, table: str, where: SourceFilter | None = None, split: Split | None = None
     ) -> DataFrame:
-        ranges: dict[str, str] = {}
-        if split is not None:
-            low, high = self._bounds(table, where, split.column)
-            if low is not None:
-                ranges = {
-                    "partitionColumn": split.column,
-                    "lowerBound": str(low),
-                    "upperBound": str(high + 1),
-                    "numPartitions": str(split.tasks),
-                }
-        df = self._load(table, **ranges)
+        if split is None:
+            df = self._load(table)
+        else:
+            column = f"{self._quote}{split.column}{self._quote}"
+            ranges = self._ranges(table, where, split)
+            options = {k: v for k, v in self.options.items() if k != "url"}
+            df = self.spark.read.jdbc(
+                self.options["url"], table,
+                predicates=[r.sql(column) for r in ranges], properties=options,
+            )
         return df if where is None else df.where(where.condition())
 
 

@@ -282,3 +282,46 @@ def test_shared_folder_must_be_named_on_a_cluster(spark):
         session.shared_dir(cluster)
     assert session.shared_dir(spark).endswith("/shared")
     assert tables.qualified("a", "b") == "a.b"
+
+
+def test_versions_around_a_failure(spark, database):
+    """Fail, succeed: readers of the version before still have it; failed folders are gone."""
+    names = "customer_id long, customer_fname string"
+
+    def source(value):
+        return FrameReader({"customers": spark.createDataFrame([(1, value)], names)})
+
+    def folders():
+        root = spark.catalog.getDatabase(database).locationUri + "/customers_versions"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return [entry.getPath().getName() for entry in files.listStatus(path)]
+
+    ingest.snapshot_import(spark, source("a"), database, "customers")
+    assert tables.version_before(spark, database, "customers") is None
+    reading = spark.table(f"{database}.customers")
+    bad = source("b").frames["customers"].withColumn("customer_fname", F.expr("raise_error('late')"))
+    with pytest.raises(Exception, match="late"):
+        ingest.snapshot_import(spark, FrameReader({"customers": bad}), database, "customers")
+    assert len(folders()) == 1
+    left = spark.catalog.getDatabase(database).locationUri + "/customers_versions/9-killed"
+    spark.range(1).write.parquet(left)  # a run that could not clean up
+    ingest.snapshot_import(spark, source("c"), database, "customers")
+    assert rows(reading, "customer_fname") == [("a",)]
+    assert rows(tables.version_before(spark, database, "customers"), "customer_fname") == [("a",)]
+    assert rows(spark.table(f"{database}.customers"), "customer_fname") == [("c",)]
+    assert len(folders()) == 2 and "9-killed" not in folders()
+
+
+def test_changed_columns_leave_no_gap(spark, database, monkeypatch):
+    """One catalog change switches columns and rows; the name is never dropped."""
+    first = FrameReader({"customers": spark.createDataFrame([(1, "a")], "customer_id long, old string")})
+    second = FrameReader({"customers": spark.createDataFrame([(2, 3)], "customer_id long, age int")})
+    ingest.snapshot_import(spark, first, database, "customers")
+    said, sql = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or sql(self, text, *a, **k))
+    ingest.snapshot_import(spark, second, database, "customers")
+    monkeypatch.undo()
+    changes = [text for text in said if not text.startswith(("SHOW", "DESCRIBE", "SELECT"))]
+    assert len(changes) == 1 and changes[0].startswith("CREATE OR REPLACE VIEW")
+    assert rows(spark.table(f"{database}.customers"), "customer_id", "age") == [(2, 3)]
