@@ -114,45 +114,60 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     doc_id loses); of rows that repeat a doc_id as well, one stays. An empty table
     gives no rows. Returns doc_id, keep_id, group_size, kept, text_sha256.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), normalised(F.col("text")).alias("norm"))
-    marked = rows.withColumn("fp", F.xxhash64("norm"))
-    repeated = stored(repeated_fingerprints(marked.select("fp"), docs.count()).select("fp"))
-
-    # Byte verification: Spark groups by the normalised text itself. Copies in one
-    # task meet before the shuffle, so a large group moves one text per task.
-    groups = (
-        marked.join(small_side(repeated), "fp")
+    norm = normalised(F.col("text"))
+    rows = docs.select(
+        "doc_id",
+        F.xxhash64(norm).alias("fp"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("len"),
+        F.sha2(norm, 256).alias("text_sha256"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    # Texts are read once for this and once more to compare those that may be equal.
+    marked = stored(rows)
+    repeated = stored(repeated_fingerprints(marked.select("fp"), marked.count()).select("fp"))
+
+    # Byte verification: Spark groups by the normalised text itself. Copies in one task
+    # meet before the shuffle, so a large group moves one text per task. Only a count is
+    # kept beside the text, so this is done by hashing, without sorting texts.
+    equal = (
+        docs.select(F.xxhash64(norm).alias("fp"), norm.alias("norm"))
+        .join(small_side(repeated), "fp")
         .groupBy("fp", "norm")
-        .agg(
-            F.max(F.struct(F.length("text").alias("len"), (-F.col("doc_id")).alias("neg"))).alias("top"),
-            F.count(F.lit(1)).alias("group_size"),
-        )
+        .agg(F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
-        .select(
-            F.sha2("norm", 256).alias("text_sha256"),
-            (-F.col("top.neg")).alias("keep_id"),
-            "group_size",
-        )
+        .select(F.sha2("norm", 256).alias("text_sha256"), "group_size")
     )
-    digests = marked.select(
-        "doc_id", F.length("text").alias("len"), F.sha2("norm", 256).alias("text_sha256")
+    equal = small_side(stored(equal))
+
+    # The row that stays, from narrow rows and numbers alone: first its length and
+    # doc_id, then the smallest row number, since a row may repeat both.
+    grouped = marked.join(equal, "text_sha256").withColumn("top", _precedence("len", "doc_id"))
+    first = grouped.groupBy("text_sha256").agg(F.max("top").alias("best"))
+    first = small_side(stored(first))
+    stays = (
+        grouped.join(first, "text_sha256")
+        .where(F.col("top") == F.col("best"))
+        .groupBy("text_sha256", F.col("doc_id").alias("keep_id"), "group_size")
+        .agg(F.min("row").alias("keep_row"))
     )
-    # Numbered before the join: a large group is spread by doc_id here.
-    same_row = Window.partitionBy("text_sha256", "doc_id").orderBy(F.desc("len"))
-    return (
-        digests.withColumn("turn", F.row_number().over(same_row))
-        .join(groups, "text_sha256", "left")
-        .select(
-            "doc_id",
-            F.when(F.col("group_size").isNull(), F.col("doc_id"))
-            .otherwise(F.col("keep_id"))
-            .alias("keep_id"),
-            F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-            (
-                F.col("group_size").isNull()
-                | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == 1))
-            ).alias("kept"),
-            "text_sha256",
-        )
+    stays = small_side(stored(stays))
+    alone = F.col("group_size").isNull()
+    return marked.join(stays, "text_sha256", "left").select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        (alone | (F.col("row") == F.col("keep_row"))).alias("kept"),
+        "text_sha256",
+    )
+
+
+def _precedence(length: str, doc_id: str) -> Column:
+    """A number that grows with the length, then with a smaller doc_id; null is the last id.
+
+    Exact for every 64-bit id: below the length lie the 2^64 places of the ids and null.
+    """
+    wide = "decimal(38,0)"
+    place = F.lit(str(2**63)).cast(wide) - F.col(doc_id).cast(wide)
+    return F.col(length).cast("decimal(10,0)") * F.lit(str(2**64 + 1)).cast("decimal(20,0)") + F.coalesce(
+        place, F.lit(0).cast(wide)
     )

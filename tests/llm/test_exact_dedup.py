@@ -56,3 +56,14 @@ def test_filters_merge_without_loss():
                 merged.add(np.frombuffer(remainders, np.uint64) | high, np.frombuffer(counts, np.int64))
         values, counts = np.unique(keys, return_counts=True)
         assert (merged.keys == values).all() and (merged.counts == counts).all()
+
+
+def test_any_64_bit_id_and_many_rows_without_one(documents):
+    low, high = -(2**63), 2**63 - 1
+    rows = [(low, "a b", "aa", "s"), (high, "ab", "aa", "s"), (0, "a  b", "aa", "s"), (None, " a b ", "aa", "s")]
+    rows += [(low, "ties", "aa", "s"), (high, "ties", "aa", "s"), (None, "ties", "aa", "s")]
+    rows += [(None, "without", "aa", "s")] * 300 + [(7, None, "aa", "s"), (low, "\t", "aa", "s")]
+    found = duplicate_groups(documents(rows)).cache()
+    assert answer(found) == brute(rows)
+    kept = [(r.doc_id, r.text_sha256) for r in found.where("kept").collect()]
+    assert len(kept) == 4 and all(r.keep_id == r.doc_id for r in found.where("kept").collect())
