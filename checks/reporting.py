@@ -20,7 +20,7 @@ def product_totals(t):
 
 def month_totals(t):
     orders = orders_for_month(t.orders(), MONTHLY)
-    return facts.customer_sales_fact(orders, t.order_items(), t.products(), t.categories())
+    return facts.customer_day_sums(orders, t.order_items(), t.products(), t.categories())
 
 
 @query("report_category_sales", report("category_sales", DAILY))

@@ -19,6 +19,7 @@ from daybook.plans.kept import keep_day, month_customer_sums
 from daybook.schemas import REPORT_TABLES, SNAPSHOT_KEYS
 from daybook.session import create_scratch_database, drop_scratch_database, shared_dir
 from daybook.sinks.kept import KeptDay
+from daybook.sinks.runs import RunLedger
 from daybook.sinks.tables import database_exists, ensure_database, qualified, replace_report
 from daybook.sources.appended import band_width, committed_rows, compact, last_commit
 from daybook.sources.ingest import import_orders_day, incremental_append, snapshot_import
@@ -55,20 +56,39 @@ class JobConfig:
         return RebasingReader(self.reader, self.rebase_anchor)
 
 
-def _together(spark: SparkSession, steps: Iterable[Step], at_once: int) -> dict[str, int | None]:
+def _together(
+    spark: SparkSession, steps: Iterable[Step], at_once: int, ledger: RunLedger | None = None
+) -> dict[str, int | None]:
     """Run independent actions from several threads, so small ones share the cluster.
 
-    A step starts as soon as ``steps`` yields it. All started ones end before the
-    first failure, if any, is raised.
+    A step starts as soon as ``steps`` yields it, unless the ledger has it as finished.
+    All started ones end before the first failure, if any, is raised.
     """
+
+    def noted(name: str, action: Callable[[], int | None]) -> Callable[[], int | None]:
+        def act() -> int | None:
+            rows = action()
+            ledger.finish(name, rows)
+            return rows
+
+        return action if ledger is None else act
+
     with ThreadPoolExecutor(at_once) as pool:
         started = {
-            name: pool.submit(inheritable_thread_target(spark)(action)) for name, action in steps
+            name: None
+            if ledger is not None and ledger.finished(name)
+            else pool.submit(inheritable_thread_target(spark)(noted(name, action)))
+            for name, action in steps
         }
-    return {name: future.result() for name, future in started.items()}
+    return {
+        name: ledger.rows(name) if future is None else future.result()
+        for name, future in started.items()
+    }
 
 
-def _import(spark: SparkSession, config: JobConfig, ctx: RunContext, mode: str) -> None:
+def _import(
+    spark: SparkSession, config: JobConfig, ctx: RunContext, mode: str, ledger: RunLedger
+) -> None:
     reader, database, tasks = config.source(), config.database, config.import_tasks
     steps: list[Step] = [
         ("orders", lambda: import_orders_day(spark, reader, database, ctx.txn_date, tasks)),
@@ -78,16 +98,24 @@ def _import(spark: SparkSession, config: JobConfig, ctx: RunContext, mode: str)
         steps.append(
             (table, partial(snapshot_import, spark, reader, database, table, mode, tasks))
         )
-    _together(spark, steps, config.concurrent_steps)
+    named = [(f"import {name}", action) for name, action in steps]
+    _together(spark, named, config.concurrent_steps, ledger)
 
 
 def run_daily(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
-    """Refresh the snapshots, load one day of orders and the new items, write all reports."""
+    """Refresh the snapshots, load one day of orders and the new items, write all reports.
+
+    A run of this date that stopped goes on: imports and reports that it finished are
+    not done again.
+    """
     shared_dir(spark)  # fails before anything is read
     ctx = RunContext(run_date, config.lag_days)
-    _import(spark, config, ctx, "overwrite")
+    ledger = RunLedger(spark, config.database, run_date.isoformat())
+    _import(spark, config, ctx, "overwrite", ledger)
     compact(spark, config.database)
-    return run_reports(spark, config, run_date)
+    written = run_reports(spark, config, run_date, ledger)
+    ledger.close()
+    return written
 
 
 def run_bootstrap(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
@@ -99,8 +127,11 @@ def run_bootstrap(spark: SparkSession, config: JobConfig, run_date: date) -> dic
     shared_dir(spark)
     ctx = RunContext(run_date, config.lag_days)
     ensure_database(spark, config.database, config.database_location)
-    _import(spark, config, ctx, "create")
-    return run_reports(spark, config, run_date)
+    ledger = RunLedger(spark, config.database, run_date.isoformat())
+    _import(spark, config, ctx, "create", ledger)
+    written = run_reports(spark, config, run_date, ledger)
+    ledger.close()
+    return written
 
 
 def run(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
@@ -110,13 +141,18 @@ def run(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int
     return run_bootstrap(spark, config, run_date)
 
 
-def run_reports(spark: SparkSession, config: JobConfig, run_date: date) -> dict[str, int]:
-    """Write every report due on ``run_date`` from the warehouse; rows written per report."""
+def run_reports(
+    spark: SparkSession, config: JobConfig, run_date: date, ledger: RunLedger | None = None
+) -> dict[str, int]:
+    """Write every report due on ``run_date`` from the warehouse; rows written per report.
+
+    With a ledger, those that it has as finished are left as they are.
+    """
     ctx = RunContext(run_date, config.lag_days)
     scratch = create_scratch_database(spark)
     try:
         steps = _report_steps(spark, config.database, ctx, scratch)
-        return _together(spark, steps, config.concurrent_steps)
+        return _together(spark, steps, config.concurrent_steps, ledger)
     finally:
         drop_scratch_database(spark, scratch)
 
