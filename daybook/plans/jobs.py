@@ -19,12 +19,15 @@ from daybook.plans.kept import keep_day, month_customer_sums
 from daybook.schemas import REPORT_TABLES, SNAPSHOT_KEYS
 from daybook.session import create_scratch_database, drop_scratch_database, shared_dir
 from daybook.sinks.kept import KeptDay
+from daybook.sinks.publish import Publication
 from daybook.sinks.runs import RunLedger
-from daybook.sinks.tables import database_exists, ensure_database, qualified, replace_report
+from daybook.sinks.tables import database_exists, ensure_database, qualified
 from daybook.sources.appended import band_width, committed_rows, compact, last_commit
 from daybook.sources.ingest import import_orders_day, incremental_append, snapshot_import
 from daybook.sources.readers import Reader, RebasingReader
 
+# Fixed value: the ledger's step of showing the reports.
+PUBLISHED = "publish reports"
 # A named action, giving the number of rows it wrote where it counts them.
 Step = tuple[str, Callable[[], int | None]]
 
@@ -146,19 +149,30 @@ def run_reports(
 ) -> dict[str, int]:
     """Write every report due on ``run_date`` from the warehouse; rows written per report.
 
-    With a ledger, those that it has as finished are left as they are.
+    All become visible together, after the last one has been written; if one fails, none
+    does. With a ledger, a run whose reports are visible already does not write them again.
     """
+    if ledger is not None and ledger.finished(PUBLISHED):
+        return {name: ledger.rows(name) for name in REPORT_TABLES if ledger.finished(name)}
     ctx = RunContext(run_date, config.lag_days)
     scratch = create_scratch_database(spark)
+    publication = Publication(spark, config.database)
     try:
-        steps = _report_steps(spark, config.database, ctx, scratch)
-        return _together(spark, steps, config.concurrent_steps, ledger)
+        steps = _report_steps(spark, config.database, ctx, scratch, publication)
+        written = _together(spark, steps, config.concurrent_steps)
+    except BaseException:
+        publication.discard()
+        raise
     finally:
         drop_scratch_database(spark, scratch)
+    publication.publish()
+    if ledger is not None:
+        ledger.finish_all({**written, PUBLISHED: None})
+    return written
 
 
 def _report_steps(
-    spark: SparkSession, database: str, ctx: RunContext, scratch: str
+    spark: SparkSession, database: str, ctx: RunContext, scratch: str, publication: Publication
 ) -> Iterator[Step]:
     """Writes of the reports due; the monthly one only on the first of a month.
 
@@ -172,7 +186,7 @@ def _report_steps(
 
     def step(name: str, build: Callable[..., DataFrame], *inputs: DataFrame) -> Step:
         period = periods[REPORT_TABLES[name].period_column]
-        return name, lambda: replace_report(build(*inputs, ctx), database, name, period)
+        return name, lambda: publication.stage(build(*inputs, ctx), name, period)
 
     orders, products = table("orders"), table("products")
     mark = last_commit(spark, database, "order_items").last_value

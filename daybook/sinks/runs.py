@@ -42,8 +42,11 @@ class RunLedger:
         return self.steps[step]
 
     def finish(self, step: str, rows: int | None = None) -> None:
+        self.finish_all({step: rows})
+
+    def finish_all(self, steps: dict[str, int | None]) -> None:
         with self.lock:
-            self.steps[step] = rows
+            self.steps |= steps
             schema = T.StructType([*_COLUMNS.fields, T.StructField("run_date", T.StringType())])
             values = [(name, count, self.run_date) for name, count in self.steps.items()]
             written = self.spark.createDataFrame(values, schema).coalesce(1)
