@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
@@ -76,6 +77,11 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 
 PARAGRAPH_WEIGHT = 25
+# Lines that offer an answer to a reader's words.
+ANSWER = frozenset("reply antworten répondre responder".split())
+# Levels above a block whose points are kept apart, and what a level beyond keeps of them.
+NEAR, FADING = 8, 0.9
+_WEIGHTS = [1.0, 0.5, *[1 / (3 * level) for level in range(2, NEAR + 1)]]
 
 
 @dataclass(slots=True)
@@ -147,8 +153,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
     """
     elements = [Element("#page", -1)]
     blocks: list[tuple[int, str, int]] = []
-    stack, current, run, linked, links = [0], 0, [], 0, 0
-    at, n, unclosed = 0, len(page), set()
+    stack, run, linked, links = [0], [], 0, 0
+    at, n, unclosed, still_open = 0, len(page), set(), Counter()
 
     def flush(owner: int) -> None:
         nonlocal run, linked
@@ -171,13 +177,19 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
 
     def close(position: int) -> None:
         """End the element at this depth and all inside it."""
-        nonlocal links
         flush(owner())
+        drop(position)
+
+    def drop(position: int) -> None:
+        nonlocal links
         for e in stack[position:]:
             links -= elements[e].tag == "a"
+            still_open[elements[e].tag] -= 1
         del stack[position:]
 
     def find(tags: tuple[str, ...], scope: Collection[str] = ()) -> int | None:
+        if not any(still_open[tag] for tag in tags):
+            return None
         for depth in range(len(stack) - 1, 0, -1):
             tag = elements[stack[depth]].tag
             if tag in tags:
@@ -207,9 +219,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             if tag in BLOCKS or elements[stack[depth]].mark:
                 close(depth)
             else:
-                for e in stack[depth:]:
-                    links -= elements[e].tag == "a"
-                del stack[depth:]
+                drop(depth)
             continue
         if tag in RAW:
             if not found.group(3).rstrip().endswith("/"):
@@ -241,12 +251,14 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
             depth = find(("a",), BLOCKS)
             if depth is not None:
                 links -= 1
+                still_open["a"] -= 1
                 del stack[depth]
         new = _element(tag, found.group(3), stack[-1])
         if new.mark:
             flush(owner())
         elements.append(new)
         stack.append(len(elements) - 1)
+        still_open[tag] += 1
         links += tag == "a"
     flush(owner())
     return elements, blocks
@@ -276,20 +288,22 @@ def _set_aside(elements: list[Element], blocks: list[tuple[int, str, int]]) -> N
             free += unlinked
         else:
             own[over[owner]] += unlinked
-        element = owner
-        while element >= 0:
-            text[element] += unlinked
-            # What a notice holds says nothing about the elements around it.
-            element = -1 if elements[element].mark == "notice" else elements[element].parent
+        text[owner] += unlinked
+    # Inner elements come after outer ones. What a notice holds says nothing about the
+    # elements around it.
+    for i in range(len(elements) - 1, 0, -1):
+        if elements[i].mark != "notice":
+            text[elements[i].parent] += text[i]
     nearest = set()
-    for i, e in enumerate(elements):
+    for i in range(len(elements) - 1, -1, -1):
+        e = elements[i]
         if e.tag in ("article", "main") and text[i]:
             nearest.add(over[i])
-            mark = over[i]
-            while mark >= 0:
-                holds.setdefault(mark, set()).add(e.tag)
-                up = elements[mark].parent
-                mark = -1 if elements[mark].mark == "notice" else over[up]
+            if over[i] >= 0:
+                holds.setdefault(over[i], set()).add(e.tag)
+        up = over[e.parent] if i else -1
+        if i in holds and e.mark != "notice" and up >= 0:
+            holds.setdefault(up, set()).update(holds[i])
     marked = [i for i, e in enumerate(elements) if e.mark and not hidden[i] and text[i]]
     outside, spared = -1 in nearest, set()
     for i in sorted(marked, key=lambda i: (level[i], -text[i])):
@@ -310,6 +324,42 @@ def _set_aside(elements: list[Element], blocks: list[tuple[int, str, int]]) -> N
         e.aside = (bool(e.mark) and i not in spared) or bool(i) and elements[e.parent].aside
 
 
+def _reader_comments(elements: list[Element], blocks: list[tuple[int, str, int]]) -> None:
+    """Set aside what readers wrote, told by its structure: siblings that each can be answered.
+
+    Two or more elements of one kind side by side, each with a line that offers a reply,
+    are comments, whatever they are called. What is around them goes with them if it has
+    no paragraph besides.
+    """
+    answered: dict[int, set[int]] = {}
+    for owner, text, _ in blocks:
+        if text.casefold() in ANSWER:
+            element = elements[owner].parent
+            for _ in range(NEAR):
+                if element <= 0:
+                    break
+                answered.setdefault(elements[element].parent, set()).add(element)
+                element = elements[element].parent
+    comments = set()
+    for children in answered.values():
+        kinds = Counter(elements[i].tag for i in children)
+        comments |= {i for i in children if kinds[elements[i].tag] > 1 and elements[i].tag in BLOCKS}
+    if not comments:
+        return
+    inside, own, held = [False] * len(elements), [0] * len(elements), [False] * len(elements)
+    for i in range(1, len(elements)):
+        inside[i] = i in comments or inside[elements[i].parent]
+    for owner, text, linked in blocks:
+        own[owner] += not inside[owner] and not elements[owner].aside and len(text) - linked >= PARAGRAPH_WEIGHT
+    for i in range(len(elements) - 1, 0, -1):
+        own[elements[i].parent] += own[i]
+        held[i] |= i in comments
+        held[elements[i].parent] |= held[i]
+    for i in range(1, len(elements)):
+        around = held[i] and own[i] == 0 and own[0] > 0
+        elements[i].aside |= inside[i] or around or elements[elements[i].parent].aside
+
+
 def _leading_menus(elements: list[Element], blocks: list[tuple[int, str, int]]) -> set[int]:
     """Lists of links before the first heading or paragraph.
 
@@ -334,26 +384,50 @@ def _leading_menus(elements: list[Element], blocks: list[tuple[int, str, int]])
     }
 
 
+def _add_up(elements: list[Element], blocks: list[tuple[int, str, int]]) -> None:
+    """Points, characters, links and paragraphs of every element, each passed up once.
+
+    Points reach the element around a block whole, the next one by half, then by a third
+    over the distance; beyond NEAR levels they fade by a fixed part a level, so what an
+    element has to pass on is a few sums however deep the page is.
+    """
+    near: dict[int, list[float]] = {}
+    for owner, text, linked in blocks:
+        weight = 1.0 if len(text) >= PARAGRAPH_WEIGHT else 0.25
+        points = weight * (1 + text.count(",") + min(len(text) / 100, 3))
+        first = owner
+        if elements[owner].tag in ("p", "pre", "td", "li", "blockquote", "dd"):
+            first = elements[owner].parent
+        if first >= 0:
+            near.setdefault(first, [0.0] * (NEAR + 1))[0] += points
+        e = elements[owner]
+        e.chars += len(text)
+        e.linked += min(linked, len(text))
+        e.paragraph |= len(text) - linked >= PARAGRAPH_WEIGHT
+    for i in range(len(elements) - 1, -1, -1):
+        e = elements[i]
+        given = near.pop(i, None)
+        if given is not None:
+            e.points = sum(p * w for p, w in zip(given, _WEIGHTS, strict=True))
+        if i:
+            up = elements[e.parent]
+            up.chars += e.chars
+            up.linked += e.linked
+            up.paragraph |= e.paragraph
+            if given is not None:
+                sums = near.setdefault(e.parent, [0.0] * (NEAR + 1))
+                for level, points in enumerate(given[:-1]):
+                    sums[level + 1] += points
+                sums[NEAR] += given[NEAR] * FADING
+
+
 def main_blocks(page: str) -> list[str]:
     """The blocks of the article, in page order."""
     elements, blocks = parse(page)
     _set_aside(elements, blocks)
+    _reader_comments(elements, blocks)
     blocks = [b for b in blocks if not elements[b[0]].aside]
-    for owner, text, linked in blocks:
-        weight = 1.0 if len(text) >= PARAGRAPH_WEIGHT else 0.25
-        points = weight * (1 + text.count(",") + min(len(text) / 100, 3))
-        element, level = owner, 0
-        if elements[owner].tag in ("p", "pre", "td", "li", "blockquote", "dd"):
-            element = elements[owner].parent
-        while element >= 0:
-            elements[element].points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            element, level = elements[element].parent, level + 1
-        element = owner
-        while element >= 0:
-            elements[element].chars += len(text)
-            elements[element].linked += min(linked, len(text))
-            elements[element].paragraph |= len(text) - linked >= PARAGRAPH_WEIGHT
-            element = elements[element].parent
+    _add_up(elements, blocks)
 
     def score(e: Element) -> float:
         return (e.points + e.bonus * (e.points > 0)) * (1 - e.linked / max(1, e.chars))
@@ -382,10 +456,13 @@ def main_blocks(page: str) -> list[str]:
         kept.add(best)
     else:
         threshold = max(10.0, 0.2 * scores[best])
+        beside = elements[best].tag in ("article", "main")
         kept |= {
             i for i, e in enumerate(elements)
-            if e.tag == elements[best].tag and e.parent == elements[best].parent
-            and not e.aside and scores[i] >= threshold
+            if e.parent == elements[best].parent and not e.aside and (
+                scores[i] >= threshold if e.tag == elements[best].tag
+                else beside and (e.tag in HEADS or (e.paragraph and e.linked < 0.5 * e.chars))
+            )
         }
     left = _leading_menus(elements, blocks) if elements[best].tag in ("body", "html", "#page") else set()
     inside: list[bool] = []

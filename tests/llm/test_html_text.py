@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from daybook.llm.html_text import main_blocks, main_text
@@ -114,3 +116,35 @@ def test_missing_end_tags_and_formulas():
     for tag in ("script", "style", "textarea", "title"):
         assert main_blocks(f"<article><p>{TEXT}</p><{tag}>no <p>{MORE}") == [TEXT]
     main_blocks("<svg>" * 20_000 + f"<p>{TEXT}")
+
+
+@pytest.mark.parametrize("page", ["<div>word ", "<ul><li>a ", "<div>", "<span>", "<div><a href=x>b "])
+def test_deep_pages_take_time_in_proportion(page):
+    start = time.perf_counter()
+    main_blocks(page * 20_000 + f"<p>{TEXT}")
+    main_blocks(page * 20_000 + "</p>" * 20_000)
+    assert time.perf_counter() - start < 20
+    assert main_blocks("<div>" * 100_000 + f"<p>{TEXT}</p>") == [TEXT]
+
+
+def test_parts_beside_the_article():
+    """A headline or a section that is not inside the article element belongs to it."""
+    for tag in ("article", "main"):
+        article = f"<{tag}><p>{TEXT}</p><p>{MORE}</p></{tag}>"
+        links = "<div><a href=1>a linked line of the menu</a> and <a href=2>another of them</a></div>"
+        assert main_blocks(f"<div><h1>Headline</h1>{article}{links}</div>") == ["Headline", TEXT, MORE]
+        page = f"<body><div>{article}<section><h2>Later</h2><p>{MORE} And so on.</p></section>{links}</div>"
+        assert main_blocks(page) == [TEXT, MORE, "Later", f"{MORE} And so on."]
+
+
+def test_unnamed_reader_comments():
+    """Known by their structure, whatever the class says."""
+    one = "<{0}><b>Ann</b> <time>2 days ago</time><p>{1}</p><{2}>Reply</{2}></{0}>"
+    for kind in ("discussion", "feedback", "x1"):
+        for tag, reply in (("div", "button"), ("li", "p"), ("article", "div")):
+            said = "".join(one.format(tag, f"{MORE} {n} {TEXT}", reply) for n in range(3))
+            page = f"<div class=post><p>{TEXT}</p><p>{MORE}</p></div><div class={kind}><h3>3 voices</h3>{said}</div>"
+            assert main_blocks(page) == [TEXT, MORE], (kind, tag)
+    # An article about replies, and a single line, are no comments.
+    page = f"<article><p>{TEXT}</p><p>Reply</p><p>{MORE}</p><p>Reply</p></article>"
+    assert main_blocks(page) == [TEXT, "Reply", MORE, "Reply"]
