@@ -16,11 +16,12 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import BROADCAST_ROWS, stored
+from daybook.llm.common import BROADCAST_ROWS, discard, stored
 
 UNKNOWN = "und"
 # What ends a piece, what stands between words, capitals.
@@ -28,6 +29,7 @@ _TABLE = bytes.maketrans(
     b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ",
     b"\n\n\n\n\n\n\n\n\n\n abcdefghijklmnopqrstuvwxyz",
 )
+_DOTS = _TABLE.replace(b"\n", b".")
 # Different phrases that a task counts before it hands its counts on.
 HELD = 200_000
 # Phrases of a language grown in the first wave; each later wave takes more.
@@ -35,6 +37,11 @@ FIRST_WAVE, MORE = 8_000, 4
 # Phrases of all languages grown in one wave, and their bytes: sent to every executor.
 WAVE, WAVE_BYTES = 200_000, 64 << 20
 COUNTS = "lang string, size int, phrase string, n long"
+_CODES = "number int, size int, code long, last long, n long"
+# Frequent words, and pairs of them, that are sent to every executor; more are counted by name.
+VOCABULARY, PAIRS = 500_000, 2_000_000
+# Words that a task numbers before it counts them.
+HELD_WORDS = 2_000_000
 _KEY = ["lang", "phrase"]
 
 
@@ -72,11 +79,13 @@ class _Held:
     def rows(self) -> Iterator[pa.RecordBatch]:
         for lang, counts in self.counts.items():
             if counts:
-                phrases = [b" ".join(words).decode("utf-8") for words in counts]
+                words = isinstance(next(iter(counts)), bytes)
+                phrases = [(p if words else b" ".join(p)).decode("utf-8") for p in counts]
+                sizes = [1] * len(phrases) if words else map(len, counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(phrases), pa.string()),
-                        pa.array(map(len, counts), pa.int32()),
+                        pa.array(sizes, pa.int32()),
                         pa.array(phrases, pa.string()),
                         pa.array(counts.values(), pa.int64()),
                     ],
@@ -114,18 +123,11 @@ def _counted(texts: DataFrame, add) -> DataFrame:
 
 
 def _add_words(counts: Counter, lang: str, words: list[bytes]) -> None:
-    counts.update(zip(words))
+    counts.update(words)
 
 
-def _add_pairs(vocabulary):
-    def add(counts: Counter, lang: str, words: list[bytes]) -> None:
-        pairs = zip(words, words[1:])
-        if vocabulary is not None:
-            known = vocabulary.value.get(lang, ())
-            pairs = (p for p in pairs if p[0] in known and p[1] in known)
-        counts.update(pairs)
-
-    return add
+def _add_pairs(counts: Counter, lang: str, words: list[bytes]) -> None:
+    counts.update(zip(words, words[1:]))
 
 
 def _add_extensions(wave):
@@ -154,15 +156,245 @@ def _add_extensions(wave):
     return add
 
 
-def _vocabulary(words: DataFrame):
-    """The frequent words by language for every executor, or None if they are too many."""
+class _Ids(dict):
+    """Numbers of the frequent words of a language; other words, and ends of pieces, are -1."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
+def _vocabulary(words: DataFrame) -> list[tuple[str, _Ids]] | None:
+    """The frequent words by language, numbered, or None if they are too many to send out."""
     count, size = words.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase"))).first()
-    if count > BROADCAST_ROWS or (size or 0) > WAVE_BYTES:
+    if count > VOCABULARY or (size or 0) > WAVE_BYTES:
         return None
-    known: dict[str, set[bytes]] = {}
+    known: dict[str, _Ids] = {}
     for lang, word in words.select("lang", "phrase").toLocalIterator():
-        known.setdefault(lang, set()).add(word.encode("utf-8"))
-    return words.sparkSession.sparkContext.broadcast(known)
+        ids = known.setdefault(lang, _Ids())
+        ids[word.encode("utf-8")] = len(ids)
+    return list(known.items())
+
+
+def _within(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which codes are among the sorted ``wanted`` ones."""
+    if not len(wanted):
+        return np.zeros(len(codes), bool)
+    at = np.searchsorted(wanted, codes)
+    at[at == len(wanted)] = 0
+    return wanted[at] == codes
+
+
+def _pair_codes(ids: np.ndarray, base: int) -> np.ndarray:
+    """A number for each two words that follow each other; -1 where one is unknown."""
+    return np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * base + ids[1:], -1)
+
+
+@dataclass
+class _Wave:
+    """Phrases to grow, and trigrams asked for, of one language, as sorted codes.
+
+    Three words fit a 64-bit number; a fourth stands beside it. ``frequent`` has the
+    codes of all frequent pairs, or is None where these are too many to send out:
+    a phrase with a rarer pair inside need not be counted.
+    """
+
+    pairs: np.ndarray
+    triples: np.ndarray
+    asked: np.ndarray
+    frequent: np.ndarray | None
+
+    def counts(self, ids: np.ndarray, base: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(size, code, last word, count) of the extensions in a run of words."""
+        two = _pair_codes(ids, base)
+        known = two >= 0
+        three = np.where(known[:-1] & known[1:], two[:-1] * base + ids[2:], -1)
+        grown = _within(two, self.pairs)
+        first = np.unique(np.concatenate([self.triples, self.asked]) // base)
+        near = np.flatnonzero((three >= 0) & _within(two[:-1], first))
+        triple, asked = np.zeros(len(three), bool), np.zeros(len(three), bool)
+        triple[near] = _within(three[near], self.triples)
+        asked[near] = _within(three[near], self.asked)
+
+        at = np.flatnonzero((three >= 0) & (grown[:-1] | grown[1:] | asked))
+        at = at[self._possible(two, at, 2)]
+        codes, counts = np.unique(three[at], return_counts=True)
+        yield 3, codes, np.full(len(codes), -1), counts
+        if len(three) > 1 and triple.any():
+            at = np.flatnonzero((three[:-1] >= 0) & (three[1:] >= 0) & (triple[:-1] | triple[1:]))
+            at = at[self._possible(two, at, 3)]
+            found = np.stack([three[at], ids[at + 3]], axis=1)
+            codes, counts = np.unique(found, axis=0, return_counts=True)
+            yield 4, codes[:, 0], codes[:, 1], counts
+
+    def _possible(self, two: np.ndarray, at: np.ndarray, pairs: int) -> np.ndarray:
+        possible = np.ones(len(at), bool)
+        if self.frequent is not None:
+            for k in range(pairs):
+                possible &= _within(two[at + k], self.frequent)
+        return possible
+
+
+def _all_pairs(ids: np.ndarray, base: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    two = _pair_codes(ids, base)
+    codes, counts = np.unique(two[two >= 0], return_counts=True)
+    yield 2, codes, np.full(len(codes), -1), counts
+
+
+def _numbering(sent):
+    """The words of every text as numbers; unknown ones in a row are one -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages = {lang: (at, ids) for at, (lang, ids) in enumerate(sent.value)}
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                numbers, coded = [], []
+                langs, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
+                for lang, text in zip(langs, texts, strict=True):
+                    if text and lang in languages:
+                        number, known = languages[lang]
+                        words = text.encode("utf-8").translate(_DOTS).replace(b".", b" . ").split()
+                        ids = np.array([*map(known.__getitem__, words), -1], "<i4")
+                        ids = ids[(ids >= 0) | (np.r_[-1, ids[:-1]] >= 0)]
+                        if len(ids) > 2:
+                            numbers.append(number)
+                            coded.append(ids.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers, pa.int32()), pa.array(coded, pa.binary())],
+                    names=["number", "ids"],
+                )
+
+    return run
+
+
+def _counting_codes(sent):
+    """A task that counts phrases of numbered texts, for the languages that ``sent`` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bases, waves = sent.value
+        held: dict[int, list[bytes]] = {}
+        size = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for number, texts in held.items():
+                ids, base = np.frombuffer(b"".join(texts), "<i4").astype(np.int64), bases[number]
+                found = _all_pairs(ids, base) if waves is None else waves[number].counts(ids, base)
+                for length, codes, last, counts in found:
+                    for at in range(0, len(codes), 50_000):
+                        part = slice(at, at + 50_000)
+                        rows = len(codes[part])
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(rows, number, np.int32)),
+                                pa.array(np.full(rows, length, np.int32)),
+                                pa.array(codes[part]), pa.array(last[part].astype(np.int64)),
+                                pa.array(counts[part].astype(np.int64)),
+                            ],
+                            names=["number", "size", "code", "last", "n"],
+                        )
+            held.clear()
+
+        for batch in batches:
+            for number, ids in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if waves is None or number in waves:
+                    held.setdefault(number, []).append(ids)
+                    size += len(ids) // 4
+                if size > HELD_WORDS:
+                    yield from counted()
+                    size = 0
+        yield from counted()
+
+    return run
+
+
+def _decoding(sent):
+    """Phrases of the numbers that ``_counting_codes`` gave."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = [(lang, list(ids)) for lang, ids in sent.value]
+        for batch in batches:
+            langs, phrases = [], []
+            for number, size, code, last in zip(*[c.to_pylist() for c in batch.columns[:4]], strict=True):
+                lang, known = words[number]
+                found = [known[last]] if size == 4 else []
+                for _ in range(min(size, 3)):
+                    code, word = divmod(code, len(known))
+                    found.insert(0, known[word])
+                langs.append(lang)
+                phrases.append(b" ".join(found).decode("utf-8"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), batch.column(1), pa.array(phrases, pa.string()), batch.column(4)],
+                names=["lang", "size", "phrase", "n"],
+            )
+
+    return run
+
+
+class _Counter:
+    """Counts phrases over the texts: as numbers where the vocabulary can be sent out."""
+
+    def __init__(self, texts: DataFrame, words: DataFrame, least: int) -> None:
+        self.texts, self.least = texts, least
+        self.context = texts.sparkSession.sparkContext
+        self.vocabulary = _vocabulary(words)
+        self.frequent: dict[int, np.ndarray] | None = None
+        if self.vocabulary is not None:
+            self.numbers = {lang: at for at, (lang, _) in enumerate(self.vocabulary)}
+            self.words = self.context.broadcast(self.vocabulary)
+            # A few bytes a word; the passes that follow read this instead of the texts.
+            numbered = texts.mapInArrow(_numbering(self.words), "number int, ids binary")
+            self.numbered = stored(numbered)
+
+    def _counted(self, waves) -> tuple[DataFrame, DataFrame]:
+        sent = self.context.broadcast(([len(ids) for _, ids in self.vocabulary], waves))
+        keys = ["number", "size", "code", "last"]
+        codes = stored(
+            self.numbered.mapInArrow(_counting_codes(sent), _CODES)
+            .groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") >= self.least)
+        )
+        sent.destroy()
+        return stored(codes.mapInArrow(_decoding(self.words), COUNTS), release=False), codes
+
+    def pairs(self) -> DataFrame:
+        if self.vocabulary is None:
+            return stored(_counted(self.texts, _add_pairs).where(F.col("n") >= self.least))
+        phrases, codes = self._counted(None)
+        if codes.count() <= PAIRS:
+            found = codes.select("number", "code").toPandas()
+            self.frequent = {
+                number: np.sort(part.to_numpy()) for number, part in found.groupby("number")["code"]
+            }
+        return phrases
+
+    def extensions(self, wave: list) -> DataFrame:
+        by_language = _by_language(wave)
+        if self.vocabulary is None:
+            sent = self.context.broadcast(by_language)
+            counts = _counted(self.texts, _add_extensions(sent)).where(F.col("n") >= self.least)
+            counts = stored(counts)
+            sent.destroy()
+            return counts
+        known = dict(self.vocabulary)
+
+        def codes(lang: str, phrases: set[tuple]) -> np.ndarray:
+            base, found = len(known[lang]), []
+            for phrase in phrases:
+                code = 0
+                for word in phrase:
+                    code = code * base + known[lang][word]
+                found.append(code)
+            return np.sort(np.array(found, np.int64))
+
+        waves = {}
+        for lang, sets in by_language.items():
+            number = self.numbers[lang]
+            frequent = None if self.frequent is None else self.frequent[number]
+            waves[number] = _Wave(*[codes(lang, s) for s in sets], frequent)
+        return self._counted(waves)[0]
+
+    def end(self) -> None:
+        if self.vocabulary is not None:
+            self.words.destroy()
+            discard(self.numbered)
 
 
 def _words(first: int, last: int) -> Column:
@@ -307,8 +539,10 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), first_wave: int = FIRS
     frequent phrases, gives no rows. Returns lang, rank, phrase, n_phrase, l, r (counts
     of the two parts at the weakest cut), n_words (of the language) and score.
 
-    The texts are read once for words, once for pairs and once for each wave; what is
-    kept between are the phrases that occur ``least`` times. All counts are exact.
+    The texts are read once for words and once to number them; pairs and each wave read
+    the numbers. Where frequent words are too many to send out, these passes read the
+    texts and count by name. What is kept between are the phrases that occur ``least``
+    times. All counts are exact.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
@@ -316,10 +550,8 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), first_wave: int = FIRS
     totals = every_word.groupBy("lang").agg(F.sum("n").alias("n_words"))
     frequent = F.col("n") >= rules.least
     words = stored(every_word.where(frequent))
-    vocabulary = _vocabulary(words)
-    pairs = stored(_counted(texts, _add_pairs(vocabulary)).where(frequent))
-    if vocabulary is not None:
-        vocabulary.destroy()
+    counter = _Counter(texts, words, rules.least)
+    pairs = counter.pairs()
 
     # How often each word goes on, and is come to, at most.
     ahead = pairs.groupBy("lang", _words(1, 1).alias("phrase")).agg(F.max("n").alias("n"))
@@ -350,10 +582,9 @@ def collocations(docs: DataFrame, rules: Rules = Rules(), first_wave: int = FIRS
         last = best.where(F.col("rank") == rules.top).select("lang", F.col("score").alias("last"))
         wave = _best(_frontier(state), last, take)
         if not wave:
+            counter.end()
             break
-        sent = spark.sparkContext.broadcast(_by_language(wave))
-        counts = stored(_counted(texts, _add_extensions(sent)).where(frequent))
-        sent.destroy()
+        counts = counter.extensions(wave)
         for size in (3, 4):
             both = tables[size].unionByName(counts.where(F.col("size") == size))
             tables[size] = stored(both.dropDuplicates(_KEY), release=False)

@@ -86,12 +86,19 @@ def test_frontier_is_not_grown_further_than_needed(documents, monkeypatch):
 
 
 def test_without_a_vocabulary_and_with_counts_handed_on(documents, monkeypatch):
-    monkeypatch.setattr(phrases, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(phrases, "VOCABULARY", 3)
     monkeypatch.setattr(phrases, "HELD", 1)
     rows, rules = chatter(3, WORDS, 40), Rules(least=5, top=50)
     assert rows_of(collocations(documents(rows), rules)) == brute_force(rows, rules)
 
 
+def test_numbers_handed_on_in_small_parts(documents, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD_WORDS", 50)
+    monkeypatch.setattr(phrases, "PAIRS", 3)
+    rows, rules = chatter(4, WORDS, 40), Rules(least=5, top=50)
+    assert rows_of(collocations(documents(rows), rules)) == brute_force(rows, rules)
+
+
 def test_odd_rows(documents, odd_rows):
     rows, rules = odd_rows * 3, Rules(least=3, top=30)
     assert rows_of(collocations(documents(rows), rules)) == brute_force(rows, rules)
