@@ -36,6 +36,7 @@ def _points(docs: DataFrame, shards: int) -> DataFrame:
         F.length(text).cast("long").alias("n"),
         "source",
         "lang",
+        F.monotonically_increasing_id().alias("row"),
     )
     rows = stored(rows)
     total = rows.agg(F.sum("size")).first()[0] or 0
@@ -55,21 +56,29 @@ def _points(docs: DataFrame, shards: int) -> DataFrame:
     limits = rows.agg(F.max("n"), F.min("doc_id"), F.max("doc_id")).first()
     longest, first, last = (x or 0 for x in limits)
     hashed = lambda *cols: F.shiftrightunsigned(F.xxhash64(*cols), 34)
-    scaled = lambda c, lo, hi: F.floor(
-        (F.coalesce(c, F.lit(lo)) - lo) / F.lit(float(max(1, hi - lo))) * _SPAN
-    ).cast("long")
+    # As decimals: ids may lie further apart than a long can tell.
+    wide = lambda x: x.cast("decimal(20,0)")
+    scaled = lambda c, lo, hi: F.least(
+        F.floor(
+            (wide(F.coalesce(c, F.lit(lo))) - wide(F.lit(lo))).cast("double")
+            / F.lit(float(max(1, hi - lo)))
+            * _SPAN
+        ).cast("long"),
+        F.lit(_SPAN).cast("long"),
+    )
     return stored(
         joined.select(
             "doc_id",
             "size",
             "text_crc32",
+            "row",
             F.array(
                 scaled(F.col("n"), 0, longest),
                 hashed(F.col("at.source"), F.lit("source")),
                 hashed(F.col("at.lang"), F.lit("lang")),
                 scaled(F.col("at.doc_id"), first, last),
             ).alias("x"),
-            F.when(heavy, F.xxhash64("doc_id")).otherwise(F.col("fp")).bitwiseAND(low).alias("tie"),
+            F.when(heavy, F.xxhash64("doc_id", "row")).otherwise(F.col("fp")).bitwiseAND(low).alias("tie"),
             F.lit(0).alias("node"),
         )
     )
@@ -163,8 +172,9 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = placed.count()
     while max(parts.values()) > 1:
         placed, parts = _split(placed, parts)
-    placed = placed.select("doc_id", "size", "text_crc32", F.col("node").alias("shard"))
+    placed = placed.select("doc_id", "size", "text_crc32", "row", F.col("node").alias("shard"))
+    # Spread by the row's own number, so rows that repeat an id are many ranges as well.
     return with_running_total(
-        placed, "slot", ["shard"], unit("doc_id"), ["doc_id", "text_crc32"],
+        placed, "slot", ["shard"], unit("doc_id", "row"), ["doc_id", "text_crc32", "row"],
         F.lit(1).cast("long"), bucket_count(rows),
-    )
+    ).drop("row")

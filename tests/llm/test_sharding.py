@@ -50,3 +50,19 @@ def test_other_numbers_of_shards(documents, prose):
 
 def test_empty_table(documents):
     assert assign_shards(documents([])).count() == 0
+
+
+def test_ids_at_both_ends_of_long(documents, prose):
+    ids = [-(2**63), 2**63 - 1, -8 * 10**18, 8 * 10**18, 0, None]
+    rows = [(ids[i % 6] if i < 12 else (i * 7919**5) % 2**64 - 2**63, prose(i, 20), "aa", "s") for i in range(600)]
+    sums = check(rows, assign_shards(documents(rows)).collect())
+    assert len(sums) == 16 and max(sums.values()) < 1.2 * min(sums.values())
+
+
+def test_rows_without_an_id_and_one_text_are_dealt_out(documents, prose):
+    """Two fifths of the rows are equal and have no id: they fill several shards, and many ranges."""
+    rows = [(None, "copy " * 12, "aa", "s")] * 800 + [(i, prose(i, 12), "aa", "s") for i in range(1200)]
+    found = assign_shards(documents(rows)).collect()
+    sums = check(rows, found)
+    assert len(sums) == 16 and max(sums.values()) < 1.15 * min(sums.values())
+    assert len({r.shard for r in found if r.doc_id is None}) > 4
