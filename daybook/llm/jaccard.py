@@ -220,9 +220,13 @@ def _near(similar: Similarity):
     return run
 
 
-def _prefixes(docs: DataFrame, nodes: DataFrame, similar: Similarity) -> DataFrame:
+def _prefixes(
+    docs: DataFrame, nodes: DataFrame, similar: Similarity
+) -> tuple[DataFrame, list[DataFrame]]:
     """(space, v, n, prefix, wide) of every node, under one order of grams per space.
 
+    Returns the stored frames that this reads as well, to be removed once it is written.
+
     Space 0 has all nodes. A gram is common if more than COMMON nodes put it
     forward; that is a property of the gram, so every node orders it alike. Nodes
     whose reach has too few other grams look all their grams up, and are called
@@ -270,11 +274,12 @@ def _prefixes(docs: DataFrame, nodes: DataFrame, similar: Similarity) -> DataFra
         .withColumn("prefix", F.slice(F.col("grams.gram"), F.lit(1), F.col("p")))
     )
     columns = ["v", "n", "prefix", "wide"]
-    return (
+    prefixes = (
         first.where("not wide").select(F.lit(0).alias("space"), *columns)
         .unionByName(by_hash.select(F.lit(0).alias("space"), "v", "n", "prefix", F.lit(True).alias("wide")))
         .unionByName(by_frequency.select(F.lit(1).alias("space"), "v", "n", "prefix", F.lit(True).alias("wide")))
     )
+    return prefixes, [first, whole, common]
 
 
 class _Join:
@@ -282,7 +287,10 @@ class _Join:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, similar: Similarity) -> None:
         self.docs, self.nodes, self.similar = docs, nodes, similar
-        prefixes = stored(_prefixes(docs, nodes, similar))
+        prefixes, read = _prefixes(docs, nodes, similar)
+        prefixes = stored(prefixes)
+        for frame in read:
+            discard(frame)
         key = F.xxhash64("space", "n", "wide", "prefix")
         self.members = stored(prefixes.select("v", "n", key.alias("g")).distinct())
         groups = prefixes.groupBy("space", "n", "wide", "prefix").agg(F.min("v").alias("leader"))

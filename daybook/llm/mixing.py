@@ -74,6 +74,7 @@ def mix(
     share: float = SHARE,
     limit: int = LIMIT,
     seed: int = 2,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every document row with the words that the mix takes from it.
 
@@ -84,8 +85,12 @@ def mix(
 
     Returns doc_id, source, size, source_size, target, taken and position: the
     words of the whole mix before the first copy of this document, null if not taken.
+    ``carry`` names further columns to return.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"),
+        *[F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)],
+    )
     targets = source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, limit
     ).withColumnRenamed("source", "_source")
@@ -126,4 +131,5 @@ def mix(
         "doc_id", "source", "size", "source_size", "target",
         taken.cast("long").alias("taken"),
         F.when(taken > 0, F.col("position")).alias("position"),
+        *[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(carry)],
     )

@@ -29,7 +29,7 @@ FINEST = 16
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 # Words a worker remembers the ids of; beyond that it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 # Stands between words that are encoded together: a word that is always one id.
 BETWEEN = "0"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -56,7 +56,8 @@ class WordIds:
     The vocabulary splits at white space and lower-cases, so the ids of a text are
     those of its words, one after the other, and capitals in A-Z make no difference
     but in the names of special tokens. Words that are new are encoded many at a
-    time, with a word of one id between them.
+    time, with a word of one id between them. A vocabulary that does otherwise, as
+    seen on a few words when it is loaded, encodes whole texts.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -70,6 +71,8 @@ class WordIds:
             path = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self._ids([BETWEEN])[0]
+        whole, *words = self._ids([" One two\n THREE, 4 ", "one", "two", "three,", "4"])
+        self.by_word = whole == b"".join(words)
         self.memory: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -77,6 +80,8 @@ class WordIds:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self._ids(texts)
         split = []
         for text in texts:
             if "<|" not in text:

@@ -71,3 +71,14 @@ def test_word_ids_are_the_tokenizers(prose):
     words = WordIds(VOCABULARY)
     for text, data in zip(texts * 2, words.encode(texts) + words.encode(texts), strict=True):
         assert np.frombuffer(data, "<u4").tolist() == encode(text)[:-1]
+
+
+def test_a_vocabulary_that_keeps_spaces_encodes_whole_texts():
+    from tokenizers import Tokenizer
+
+    other = "byte_bpe_50k.json"
+    plain = Tokenizer.from_file(public_tokenizers.path(other))
+    texts = ["A  b\n\nc\tD.", "two words", ""]
+    for text, data in zip(texts, WordIds(other).encode(texts), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert WordIds(VOCABULARY).by_word

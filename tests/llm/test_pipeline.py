@@ -30,6 +30,24 @@ def test_stages_hand_on_documents(spark, documents, odd_rows, prose):
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+def test_an_id_with_several_texts_decides_for_each(spark, documents, prose):
+    """One near copy, one exact copy and one text of its own under one id, and under none."""
+    near = prose(1, 60) + " more"
+    rows = [(1, prose(1, 60), "aa", "s1"), (2, prose(2, 60), "aa", "s1")]
+    for i in (5, None):
+        rows += [(i, near, "aa", "s1"), (i, prose(2, 60).replace(" ", "\n"), "aa", "s1")]
+        rows += [(i, prose(3 if i else 4, 50), "aa", "s1")]
+    docs, stages = documents(rows), dict(corpus_pipeline.STAGES)
+    for name in ("exact copies", "near copies"):
+        docs = stages[name](spark, docs, SAMPLES).cache()
+    assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted(
+        [(1, prose(1, 60)), (2, prose(2, 60)), (5, prose(3, 50)), (0, prose(4, 50))]
+    )
+    mixed = stages["mix"](spark, docs, SAMPLES).collect()
+    taken = {r.text for r in mixed}
+    assert taken <= {r.text for r in docs.collect()} and len(mixed) > len(taken) / 2
+
+
 def test_empty_documents(spark, documents):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
@@ -45,4 +63,4 @@ def test_run_over_the_sample(spark):
 def test_registered():
     assert set(QUERIES) < set(queries()) and "pipeline" in queries()
     assert set(ORACLE) < set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
