@@ -28,8 +28,8 @@ CAPACITY = 4096
 FINEST = 16
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-# Words a worker remembers the ids of; beyond that it starts afresh.
-REMEMBERED = 200_000
+# Words a worker remembers the ids of, twice: beyond that, those not used lately are forgotten.
+REMEMBERED = 300_000
 # Stands between words that are encoded together: a word that is always one id.
 BETWEEN = "0"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -74,6 +74,7 @@ class WordIds:
         whole, *words = self._ids([" One two\n THREE, 4 ", "one", "two", "three,", "4"])
         self.by_word = whole == b"".join(words)
         self.memory: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -88,9 +89,11 @@ class WordIds:
                 text = text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
             split.append(text.replace("\n", " ").split(" "))
         if len(self.memory) > REMEMBERED:
-            self.memory = {"": b""}
-        self._learn({word for words in split for word in words if word not in self.memory})
-        memory = self.memory
+            self.older, self.memory = self.memory, {"": b""}
+        memory, older = self.memory, self.older
+        new = {word for words in split for word in words if word not in memory}
+        memory.update((word, older[word]) for word in new if word in older)
+        self._learn({word for word in new if word not in memory})
         return [b"".join([memory[word] for word in words]) for words in split]
 
     def _learn(self, words: set[str]) -> None:

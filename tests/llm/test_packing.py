@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
+from daybook.llm import packing
 from daybook.llm.packing import WordIds, cuts, pack, VOCABULARY
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -73,6 +74,15 @@ def test_word_ids_are_the_tokenizers(prose):
         assert np.frombuffer(data, "<u4").tolist() == encode(text)[:-1]
 
 
+def test_words_are_forgotten_and_learned_again(prose, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    words = WordIds(VOCABULARY)
+    for seed in (1, 2, 1, 3, 1):
+        data = words.encode([prose(seed, 30)])[0]
+        assert np.frombuffer(data, "<u4").tolist() == encode(prose(seed, 30))[:-1]
+        assert len(words.memory) + len(words.older) < 100
+
+
 def test_a_vocabulary_that_keeps_spaces_encodes_whole_texts():
     from tokenizers import Tokenizer
 
