@@ -9,10 +9,12 @@ Missing and stale days are built from the items again, and kept.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import timedelta
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +53,14 @@ def keep_day(spark: SparkSession, database: str, day: KeptDay, totals: DataFrame
     """Keep the sums of one day, from the totals that its reports were made from."""
     products, categories = (spark.table(qualified(database, t)) for t in ("products", "categories"))
     forget_days(spark, database, [day.dt])
-    day = replace(day, catalog=catalog_fingerprint(products, categories))
-    keep_sums(per_customer(totals), database, CUSTOMER_SUMS, day.dt)
-    keep_sums(per_product(totals), database, PRODUCT_SUMS, day.dt)
-    write_ledger(spark, database, [day])
+    sums = {CUSTOMER_SUMS: per_customer(totals), PRODUCT_SUMS: per_product(totals)}
+    with ThreadPoolExecutor(3) as pool:  # small actions, none of which needs another
+        own = inheritable_thread_target(spark)
+        catalog = pool.submit(own(catalog_fingerprint), products, categories)
+        kept = [pool.submit(own(keep_sums), df, database, name, day.dt) for name, df in sums.items()]
+    for future in kept:
+        future.result()
+    write_ledger(spark, database, [replace(day, catalog=catalog.result())])
 
 
 def days_of_month(ctx: RunContext) -> list[str]:

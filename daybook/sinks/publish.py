@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -56,19 +57,29 @@ class Publication:
         return count
 
     def publish(self) -> None:
-        """Point every staged period at its folder; an empty report empties its period."""
-        places = {one.table: table_location(self.spark, one.table) for one in self.staged.values()}
-        for one in self.staged.values():
-            if one.rows == 0:
-                drop_partition(self.spark, one.table, one.column, one.period)
-                continue
-            spec = f"PARTITION (`{one.column}` = '{one.period}')"
-            self.spark.sql(f"ALTER TABLE {one.table} ADD IF NOT EXISTS {spec} LOCATION '{one.folder}'")
-            self.spark.sql(f"ALTER TABLE {one.table} {spec} SET LOCATION '{one.folder}'")
-        for report, one in self.staged.items():
-            self.spark.catalog.refreshTable(one.table)
-            remove_folder(self.spark, f"{places[one.table]}/{one.column}={one.period}")
-            self._remove_older(self._periods(report, one.period))
+        """Point every staged period at its folder; an empty report empties its period.
+
+        All tables are switched at the same time, from as many threads; what the new
+        versions replace is removed after the last one.
+        """
+        with ThreadPoolExecutor(max(1, len(self.staged))) as pool:
+            list(pool.map(self._switch, self.staged.values()))
+            list(pool.map(self._clean, self.staged))
+
+    def _switch(self, one: Staged) -> None:
+        if one.rows == 0:
+            drop_partition(self.spark, one.table, one.column, one.period)
+            return
+        spec = f"PARTITION (`{one.column}` = '{one.period}')"
+        self.spark.sql(f"ALTER TABLE {one.table} ADD IF NOT EXISTS {spec} LOCATION '{one.folder}'")
+        self.spark.sql(f"ALTER TABLE {one.table} {spec} SET LOCATION '{one.folder}'")
+
+    def _clean(self, report: str) -> None:
+        one = self.staged[report]
+        self.spark.catalog.refreshTable(one.table)
+        place = table_location(self.spark, one.table)
+        remove_folder(self.spark, f"{place}/{one.column}={one.period}")
+        self._remove_older(self._periods(report, one.period))
 
     def discard(self) -> None:
         """Remove what was staged and is not to be shown."""
