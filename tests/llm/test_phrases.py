@@ -22,14 +22,14 @@ def brute_force(rows, rules):
     for lang, f in counts.items():
         n = sum(c for p, c in f.items() if len(p) == 1)
         frequent = {p: c for p, c in f.items() if len(p) > 1 and c >= rules.least}
+        most = Counter()
+        for q, c in frequent.items():
+            for size in range(2, len(q)):
+                for at in range(len(q) - size + 1):
+                    most[q[at : at + size]] = max(most[q[at : at + size]], c)
         kept = []
         for p, a in frequent.items():
-            if any(
-                p == q[at : at + len(p)] and rules.of * c >= rules.part * a
-                for q, c in frequent.items()
-                if len(q) > len(p)
-                for at in range(len(q) - len(p) + 1)
-            ):
+            if rules.of * most[p] >= rules.part * a:
                 continue
             cuts = [(rules.scale * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p))]
             score, k = min(cuts)
