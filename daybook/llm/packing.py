@@ -11,10 +11,12 @@ sizes added up and so bounded by the capacity alone, are packed together.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.llm.best_fit import _printable_bytes
 from daybook.llm.common import bucket_count, stored, unit, with_running_total
 
 CAPACITY = 4096
@@ -34,6 +37,14 @@ REMEMBERED = 300_000
 BETWEEN = "0"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+# How the public vocabulary with word ends prepares and splits a text.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+# Words of these characters are changed by no normalizer; what the rule makes of them.
+_SIMPLE = re.compile("[!-~ß-öø-ÿ]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+")
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -50,14 +61,55 @@ def cuts(capacity: int = CAPACITY, finest: int = FINEST) -> list[list[int]]:
     return table
 
 
+def _by_ranks(told: dict):
+    """An encoder of parts that each end in a space, or None if the file is of another kind.
+
+    A space, which no part of a word holds, stands for the word end. Its symbols rank
+    before all merges, so the last byte of a part meets it first, as in the file.
+    """
+    model, steps = told["model"], (told.get("normalizer") or {}).get("normalizers", [])
+    before = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    plain = (
+        model.get("type", "BPE") == "BPE"
+        and model.get("end_of_word_suffix") == WORD_END
+        and [step["type"] for step in steps] == NORMALIZERS
+        and [step["type"] for step in before] == ["Split", "ByteLevel"]
+        and before[0]["pattern"] == {"Regex": SPLIT_RULE}
+        and before[0]["behavior"] == "Removed" and before[0]["invert"]
+        and not before[1].get("add_prefix_space") and not before[1].get("use_regex", True)
+        and not told.get("truncation")
+        and not any(model.get(name) for name in ("dropout", "continuing_subword_prefix", "ignore_merges"))
+    )
+    if not plain:
+        return None
+    byte_of = _printable_bytes()
+    special = {token["content"] for token in told.get("added_tokens") or []}
+    ids = {word: i for word, i in model["vocab"].items() if word not in special}
+    merged = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+    order = [ids.get(m.replace(" ", ""), -1) for m in merged]
+    if order != list(range(512, 512 + len(order))) or len(ids) != 512 + len(order):
+        return None
+    ranks = {}
+    for word, i in ids.items():
+        letters = word.removesuffix(WORD_END)
+        if any(c not in byte_of for c in letters):
+            return None
+        ranks[bytes(byte_of[c] for c in letters) + b" " * (letters != word)] = i
+    import tiktoken
+
+    return tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
+
 class WordIds:
     """Ids of a text as little-endian 32-bit bytes, word by word with a memory.
 
     The vocabulary splits at white space and lower-cases, so the ids of a text are
     those of its words, one after the other, and capitals in A-Z make no difference
     but in the names of special tokens. Words that are new are encoded many at a
-    time, with a word of one id between them. A vocabulary that does otherwise, as
-    seen on a few words when it is loaded, encodes whole texts.
+    time, with a word of one id between them: by the ranks of the file, if it is of
+    the known kind and they are of simple characters, which is several times faster
+    and gives the same ids, else by the tokenizer. A vocabulary that does otherwise,
+    as seen on a few words when it is loaded, encodes whole texts.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -70,6 +122,8 @@ class WordIds:
 
             path = public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.ranked = _by_ranks(json.load(file))
         self.between = self._ids([BETWEEN])[0]
         whole, *words = self._ids([" One two\n THREE, 4 ", "one", "two", "three,", "4"])
         self.by_word = whole == b"".join(words)
@@ -85,35 +139,47 @@ class WordIds:
             return self._ids(texts)
         split = []
         for text in texts:
-            if "<|" not in text:
+            if "<|" in text:
+                pass
+            elif text.isascii():
+                text = text.lower()
+            else:
                 text = text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
             split.append(text.replace("\n", " ").split(" "))
         if len(self.memory) > REMEMBERED:
             self.older, self.memory = self.memory, {"": b""}
         memory, older = self.memory, self.older
-        new = {word for words in split for word in words if word not in memory}
+        new = set().union(*split).difference(memory)
         memory.update((word, older[word]) for word in new if word in older)
-        self._learn({word for word in new if word not in memory})
-        return [b"".join([memory[word] for word in words]) for words in split]
+        self._learn(new.difference(memory))
+        return [b"".join(map(memory.__getitem__, words)) for words in split]
 
     def _learn(self, words: set[str]) -> None:
-        plain = [w for w in words if BETWEEN not in w and "<|" not in w]
-        if len(self.between) != 4:  # another vocabulary: one word at a time
-            plain = []
-        together = self._ids(
-            [f" {BETWEEN} ".join(plain[at : at + 500]) for at in range(0, len(plain), 500)]
-        )
+        # Where "0" is several ids, as in another vocabulary, one word at a time.
+        apart = len(self.between) == 4
+        plain = [w for w in words if apart and BETWEEN not in w and "<|" not in w]
+        simple = [w for w in plain if self.ranked and _SIMPLE.fullmatch(w)]
+        self._learn_together(simple, self._ranked_ids)
+        if len(simple) < len(plain):
+            self._learn_together(list(set(plain).difference(simple)), self._ids)
+        odd = list(words.difference(plain))
+        for at in range(0, len(odd), 1000):
+            part = odd[at : at + 1000]
+            self.memory.update(zip(part, self._ids(part), strict=True))
+
+    def _ranked_ids(self, texts: list[str]) -> list[bytes]:
+        parts = (" ".join(_PARTS.findall(text)) + " " for text in texts)
+        return [np.array(self.ranked.encode_ordinary(part), "<u4").tobytes() for part in parts]
+
+    def _learn_together(self, words: list[str], ids_of: Callable[[list[str]], list[bytes]]) -> None:
+        together = ids_of([f" {BETWEEN} ".join(words[at : at + 500]) for at in range(0, len(words), 500)])
         mark = int.from_bytes(self.between, "little")
         for at, data in enumerate(together):
-            part = plain[500 * at : 500 * (at + 1)]
+            part = words[500 * at : 500 * (at + 1)]
             cut = 4 * np.flatnonzero(np.frombuffer(data, "<u4") == mark)
             starts, ends = np.r_[0, cut + 4], np.r_[cut, len(data)]
             for word, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True):
                 self.memory[word] = data[a:b]
-        odd = list(words.difference(plain))
-        for at in range(0, len(odd), 1000):
-            part = odd[at : at + 1000]
-            self.memory.update(zip(part, self._ids(part), strict=True))
 
 
 def _pieces(vocabulary: str, capacity: int, finest: int):

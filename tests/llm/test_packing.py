@@ -1,4 +1,5 @@
 from collections import defaultdict
+from functools import cache
 import zlib
 
 import numpy as np
@@ -10,11 +11,15 @@ from daybook.llm.packing import WordIds, cuts, pack, VOCABULARY
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
-def encode(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
-    return [*found.encode(text or "", add_special_tokens=False).ids, 2]
+    return Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+
+
+def encode(text):
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def check(rows, found, capacity=4096):
@@ -74,6 +79,21 @@ def test_word_ids_are_the_tokenizers(prose):
         assert np.frombuffer(data, "<u4").tolist() == encode(text)[:-1]
 
 
+def test_ranks_give_the_ids_of_the_tokenizer(prose):
+    from random import Random
+
+    words = WordIds(VOCABULARY)
+    assert words.ranked
+    random = Random(7)
+    letters = "aaeinorst'-.,!<|>/_~`0159ßéñüçÉÑ×÷ªµ\u0301\x7f\x85\xa0Ǆŉǆ中"
+    odd = ["".join(random.choices(letters, k=random.randint(1, 14))) for _ in range(20_000)]
+    texts = [" ".join(odd[at : at + 100]) for at in range(0, len(odd), 100)]
+    texts += [prose(seed, 500).upper() for seed in range(5)]
+    texts += ["don't we'll 's'd 'SHE'D'S it''s o'", "a" * 500 + " " + "ab" * 3000 + "!" * 400]
+    for text, data in zip(texts, words.encode(texts), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == encode(text)[:-1]
+
+
 def test_words_are_forgotten_and_learned_again(prose, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 20)
     words = WordIds(VOCABULARY)
