@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,28 @@ def discard(stored_frame: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives the memory of batches it is done with back.
+
+    Arrow's pool keeps it otherwise, and Python workers stay for a while after their
+    tasks, when the executor needs the memory for something else.
+    """
+
+    def task(batches: Iterator) -> Iterator:
+        pool = pa.default_memory_pool()
+
+        def each() -> Iterator:
+            for batch in batches:
+                yield batch
+                del batch
+                pool.release_unused()
+
+        yield from run(each())
+        pool.release_unused()
+
+    return task
+
+
 # Up to this many keys of 8 bytes are sent to every executor; more meet in a shuffle.
 BROADCAST_ROWS = 1_000_000
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import discard, small_side, stored
+from daybook.llm.common import discard, releasing, small_side, stored
 from daybook.llm.components import components
 
 # Documents in whose prefix a gram may stand before it is moved to the end.
@@ -259,7 +259,7 @@ def _prefixes(
     )
     wide = first.where("wide").select("v", "n", "p")
     whole = _keep(docs, stored(wide.select("v"))).mapInArrow(
-        _full_sets(similar.words), "v long, grams array<long>"
+        releasing(_full_sets(similar.words)), "v long, grams array<long>"
     )
     whole = stored(whole.join(wide, "v").where(F.size("grams") == F.col("n")))
     by_hash = ordered(whole, "grams").withColumn(
@@ -351,14 +351,16 @@ class _Join:
         near = (
             pairs.join(left, "a").join(right, "b")
             .select("a", "b", "na", "nb", "sa", "sb")
-            .mapInArrow(_near(self.similar), "a long, b long")
+            .mapInArrow(releasing(_near(self.similar)), "a long, b long")
             .distinct()
         )
         if one_each:
             near = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         near = stored(near)
         active = stored(near.select(F.col("a").alias("v")).unionByName(near.select(F.col("b").alias("v"))).distinct())
-        sets = _keep(self.docs, active).mapInArrow(_full_sets(self.similar.words), "v long, grams array<long>")
+        sets = _keep(self.docs, active).mapInArrow(
+            releasing(_full_sets(self.similar.words)), "v long, grams array<long>"
+        )
         shared = F.size(F.array_intersect("ga", "gb"))
         done = stored(
             near.join(sets.select(F.col("v").alias("b"), F.col("grams").alias("gb")), "b")
@@ -450,7 +452,7 @@ def near_duplicates(docs: DataFrame, similar: Similarity = Similarity()) -> Data
     over links, its own included).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = stored(rows.mapInArrow(_prints(similar), _PRINTS))
+    prints = stored(rows.mapInArrow(releasing(_prints(similar)), _PRINTS))
     classes = prints.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(
         F.min(F.struct("doc_id", "reach", "sig")).alias("first"), F.count(F.lit(1)).alias("rows")
     )

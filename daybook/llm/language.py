@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.common import releasing
 from daybook.llm.sampling import labelled_sample
 
 FEATURES = 1 << 16
@@ -205,6 +206,9 @@ def language_of(model: LanguageModel):
 
     @F.pandas_udf("lang string, score double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from releasing(scored)(parts)
+
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams = Grams()
         for texts in parts:
             langs, scores = model.predict(list(texts), grams)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.best_fit import _printable_bytes
-from daybook.llm.common import bucket_count, stored, unit, with_running_total
+from daybook.llm.common import bucket_count, releasing, stored, unit, with_running_total
 
 CAPACITY = 4096
 FINEST = 16
@@ -215,7 +215,7 @@ def token_pieces(
 ) -> DataFrame:
     """Documents cut into pieces: doc_id, start, length, ids_crc32, doc_tokens."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return rows.mapInArrow(_pieces(vocabulary, capacity, finest), PIECES)
+    return rows.mapInArrow(releasing(_pieces(vocabulary, capacity, finest)), PIECES)
 
 
 def _fill_together(capacity: int):
