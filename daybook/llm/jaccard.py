@@ -322,23 +322,24 @@ class _Join:
         inside = inside.select(F.col("leader").alias("a"), F.col("v").alias("b"))
         return inside.unionByName(self._stars(self.entries.withColumnRenamed("leader", "v"), "gram", 0)).distinct()
 
-    def _stars(self, lists: DataFrame, key: str, turn: int) -> DataFrame:
+    def _stars(self, lists: DataFrame, key: str, turn: int, differ: str = "v") -> DataFrame:
+        """Every node of a list beside its hub, where ``differ`` does; one hub for each turn."""
         # Few rarer grams before this one: the node that has least of its own, and so
         # the one most likely to link with the others of a group of near copies.
         least = F.col("pos") if turn == 0 else F.lit(0)
         hub = F.struct(
             least.alias("own"), F.xxhash64("v", F.lit(turn)).alias("h"),
-            F.col("v"), F.col("n"), F.col("pos"), F.col("wide"),
+            *map(F.col, dict.fromkeys(["v", "n", "pos", "wide", differ])),
         )
         hubs = lists.groupBy(key).agg(F.min(hub).alias("hub"))
         return (
-            lists.join(hubs, key)
+            lists.join(hubs, key).where(F.col(f"hub.{differ}") != F.col(differ))
             .select(
                 F.col("hub.v").alias("a"), F.col("hub.n").alias("na"), F.col("hub.pos").alias("pa"),
                 F.col("v").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
                 F.col("hub.wide").alias("wa"), F.col("wide").alias("wb"),
             )
-            .where((F.col("a") != F.col("b")) & self._allowed())
+            .where(self._allowed())
             .select("a", "b")
         )
 
@@ -409,30 +410,53 @@ class _Join:
         joined = side("a").join(side("b"), "key").where("a < b and ca <> cb")
         return joined.where(self._allowed()).select("a", "b").distinct()
 
-    def more_stars(self, lists: DataFrame, turn: int) -> DataFrame:
-        """Every node of a list beside one more hub, where their components differ."""
-        comp = lists.select("v", "comp").distinct()
-        return (
-            self._stars(lists, "key", turn)
-            .join(comp.select(F.col("v").alias("a"), F.col("comp").alias("ca")), "a")
-            .join(comp.select(F.col("v").alias("b"), F.col("comp").alias("cb")), "b")
-            .where("ca <> cb").select("a", "b")
-        )
+    def still_apart(self, lists: DataFrame, labels: DataFrame) -> DataFrame:
+        """Lists that hold nodes of different components by now, with the largest one as ``bulk``."""
+        now = lists.drop("comp").join(labels, "v", "left").withColumn("comp", F.coalesce("component", "v"))
+        now = stored(now.drop("component"))
+        shares = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("rows"))
+        largest = shares.groupBy("key").agg(
+            F.max(F.struct("rows", "comp")).alias("most"), F.min("comp").alias("low"), F.max("comp").alias("high")
+        )
+        bulk = largest.where("low < high").select("key", F.col("most.comp").alias("bulk"))
+        marked = stored(now.join(bulk, "key"))
+        discard(now)
+        return marked
+
+    def pairs_beside_bulk(self, lists: DataFrame) -> DataFrame:
+        """The same pairs as ``all_pairs``, for long lists: nodes of the bulk do not meet each other.
+
+        Only the nodes outside it are looked up in the list, so a large component with a
+        few nodes beside it costs as many steps as it has nodes, for each of those few.
+        """
+        names = {"v": "", "n": "n", "pos": "p", "comp": "c", "wide": "w"}
+
+        def side(name: str) -> list[Column]:
+            return [F.col(c).alias(short + name) for c, short in names.items()]
+
+        beside = lists.where("comp <> bulk").select("key", *side("a"))
+        joined = beside.join(lists.select("key", "bulk", *side("b")), "key")
+        joined = joined.where("ca <> cb and (cb = bulk or a < b)")
+        return joined.where(self._allowed()).select("a", "b").distinct()
 
     def run(self) -> DataFrame:
         """(v, component) of all linked nodes."""
         self.check(self.first_round(), one_each=True)
         lists = self.apart(stored(self._labels()))
         sizes = stored(lists.groupBy("key").count().where(F.col("count") > LONG).select("key"))
-        long = not sizes.isEmpty()
-        wanted = self.all_pairs(lists.join(sizes, "key", "left_anti") if long else lists)
-        if long:
-            keys = small_side(sizes)
-            wanted = wanted.unionByName(self.more_stars(lists.join(keys, "key"), 1))
-        self.check_new(wanted)
-        if long:
-            lists = self.apart(stored(self._labels())).join(keys, "key")
+        if sizes.isEmpty():
             self.check_new(self.all_pairs(lists))
+            return stored(self._labels())
+        keys = small_side(sizes)
+        # Later steps read the rows of long lists several times: they are picked once.
+        long = stored(lists.join(keys, "key", "left_semi"))
+        wanted = self.all_pairs(lists.join(keys, "key", "left_anti"))
+        self.check_new(wanted.unionByName(self._stars(long, "key", 1, differ="comp")))
+        discard(lists)
+        rest = self.still_apart(long, stored(self._labels()))
+        discard(long)
+        self.check_new(self.pairs_beside_bulk(rest))
+        discard(rest)
         return stored(self._labels())
 
     def check_new(self, pairs: DataFrame) -> None:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from daybook.llm.components import components
-from daybook.llm.jaccard import Shingler, Similarity, _least_distance, _signature, near_duplicates
+from daybook.llm.jaccard import Shingler, Similarity, _Join, _least_distance, _signature, near_duplicates
 
 
 def grams(text, k):
@@ -69,6 +69,54 @@ def test_chains_and_a_large_group(documents, prose, monkeypatch):
     assert answer(near_duplicates(documents(rows), s)) == brute(rows, s)
 
 
+def test_rows_of_long_lists_are_joined_once(documents, prose, monkeypatch):
+    """Steps on long lists read stored rows: neither they nor their components are joined again."""
+    s, rng, seen = Similarity(3, 90, 100), random.Random(4), []
+    stars = _Join._stars
+
+    def plans(*frames):
+        return [str(f._jdf.queryExecution().optimizedPlan()).count("Join ") for f in frames]
+
+    def watched(self, lists, key, turn, *rest, **more):
+        found = stars(self, lists, key, turn, *rest, **more)
+        if turn:
+            seen.append(plans(lists, found))
+        return found
+
+    monkeypatch.setattr(_Join, "_stars", watched)
+    monkeypatch.setattr("daybook.llm.jaccard.COMMON", 3)
+    monkeypatch.setattr("daybook.llm.jaccard.LONG", 10)
+    base = prose(501, 150)
+    rows = [(i, edited(rng, base, rng.choice([0.01, 0.05])), "aa", "s") for i in range(60)]
+    assert answer(near_duplicates(documents(rows), s)) == brute(rows, s)
+    assert seen == [[0, 1]]
+
+
+def test_pairs_of_a_long_list_without_those_inside_its_largest_component(spark):
+    rng, join = random.Random(5), _Join.__new__(_Join)
+    join.similar = s = Similarity(5, 80, 100)
+    sizes = {v: rng.randint(40, 60) for v in range(90)}
+    # Before the labels every node stands alone; 0 to 59 have one component by now, list 3 no other.
+    label = {v: 0 if v < 60 else v // 4 * 4 for v in range(80)}
+    rows = [
+        (key, v, sizes[v], rng.randint(0, 12), rng.random() < 0.3, v)
+        for key in range(4) for v in range(60 if key == 3 else 90) if rng.random() < 0.7
+    ]
+    lists = spark.createDataFrame(rows, "key long, v long, n long, pos int, wide boolean, comp long")
+    labels = spark.createDataFrame(sorted(label.items()), "v long, component long")
+    rest = join.still_apart(lists, labels)
+    assert {(r.key, r.bulk) for r in rest.select("key", "bulk").distinct().collect()} == {(k, 0) for k in range(3)}
+    expected = set()
+    for key, a, na, pa, wa, _ in rows:
+        for other, b, nb, pb, wb, _ in rows:
+            need = -(-s.part * (na + nb) // (s.part + s.of))
+            apart = key == other and a < b and label.get(a, a) != label.get(b, b) and not (wa and wb)
+            if apart and min(na, nb) * s.of >= max(na, nb) * s.part and min(na - pa, nb - pb) >= need:
+                expected.add((a, b))
+    found = [(min(r.a, r.b), max(r.a, r.b)) for r in join.pairs_beside_bulk(rest).collect()]
+    assert sorted(found) == sorted(expected) and len(expected) > 100
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).count() == 0
 
